@@ -10,6 +10,8 @@ from pyspark.sql.types import DecimalType
 
 from stockweave.durable import scratch_path
 from stockweave.functions.scalar import line_total
+from stockweave.learning import churn, isolation
+from stockweave.learning import demand as boosted
 from stockweave.operators import (
     cleaning,
     demand,
@@ -454,3 +456,47 @@ def order_stream_clean(spark, sf_dir):
     replays = lines.filter(F.col("order_status") == "Returned")
     stream = _published(spark, cleaning.with_replays(lines, replays))
     return _drained(spark, feed.clean_order_stream(stream, "3650 days"))
+
+
+# ---- models
+
+
+@query
+def demand_forecast(spark, sf_dir):
+    return boosted.demand_forecast(_features(spark, sf_dir), fx.DEMAND_KEYS)[1]
+
+
+@query
+def churn_scores(spark, sf_dir):
+    return churn.churn_scores(
+        segments.churn_features(known_orders(spark, sf_dir), AS_OF), AS_OF
+    )[1]
+
+
+@query
+def churn_accuracy(spark, sf_dir):
+    return churn.churn_scores(
+        segments.churn_features(known_orders(spark, sf_dir), AS_OF), AS_OF
+    )[2]
+
+
+def _detected(spark, sf_dir):
+    orders = fx.raw_orders(spark, sf_dir).select(
+        "order_line_id", "customer_id", "product_id", "warehouse_id", *isolation.FEATURES
+    )
+    return isolation.detect_anomalies(orders)[1]
+
+
+@query
+def anomaly_orders(spark, sf_dir):
+    return isolation.anomalies(_detected(spark, sf_dir))
+
+
+@query
+def anomaly_counts(spark, sf_dir):
+    return segments.segment_counts(_detected(spark, sf_dir), "is_anomaly")
+
+
+@query
+def anomaly_sample(spark, sf_dir):
+    return isolation.anomalies(_detected(spark, sf_dir)).select(*isolation.FEATURES).limit(5)

@@ -92,6 +92,19 @@ CHURN_SCORES = _table(
     scored_date=DateType(),
 )
 
+# Extracts that later stages read back.
+CUSTOMER_ANALYTICS = StructType([*CUSTOMERS, *CHURN_SCORES[1:]])
+
+FORECAST_REPORT = _table(
+    forecast_date=DateType(),
+    predicted_demand=DoubleType(),
+    model_name=StringType(),
+    product_name=StringType(),
+    category=StringType(),
+    warehouse_name=StringType(),
+    region=StringType(),
+)
+
 TABLES = {
     "dim_customers": CUSTOMERS,
     "dim_products": PRODUCTS,
@@ -100,6 +113,8 @@ TABLES = {
     "fact_inventory": INVENTORY,
     "ml_demand_forecasts": DEMAND_FORECASTS,
     "ml_churn_scores": CHURN_SCORES,
+    "customer_analytics": CUSTOMER_ANALYTICS,
+    "demand_forecast": FORECAST_REPORT,
 }
 
 DIMENSIONS = ("dim_customers", "dim_products", "dim_warehouses")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,17 +50,6 @@ def read_table(spark: SparkSession, name: str, path: str, fmt: str = "csv") -> D
     return stored.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name]])
 
 
-def read_tables(
-    spark: SparkSession, base: str, fmt: str = "csv", names=(*DIMENSIONS, *FACTS)
-) -> dict[str, DataFrame]:
-    suffix = ".csv" if fmt == "csv" else ""
-    return {
-        name: read_if_exists(spark, name, f"{base}/{name}{suffix}", fmt)
-        or read_table(spark, name, f"{base}/{name}", fmt)
-        for name in names
-    }
-
-
 def read_if_exists(
     spark: SparkSession, name: str, path: str, fmt: str = "csv"
 ) -> DataFrame | None:
@@ -73,6 +62,18 @@ def read_if_exists(
         raise
 
 
+def read_tables(
+    spark: SparkSession, base: str, fmt: str = "csv", names: Sequence[str] = (*DIMENSIONS, *FACTS)
+) -> dict[str, DataFrame]:
+    """Tables stored under `base`, one file (`<name>.csv`) or folder (`<name>`) each."""
+    suffix = ".csv" if fmt == "csv" else ""
+    found = {}
+    for name in names:
+        table = read_if_exists(spark, name, f"{base}/{name}{suffix}", fmt)
+        found[name] = read_table(spark, name, f"{base}/{name}", fmt) if table is None else table
+    return found
+
+
 def register_views(tables: Mapping[str, DataFrame]) -> None:
     """Make tables and models known by name, so that SQL can refer to them."""
     for name, df in tables.items():
