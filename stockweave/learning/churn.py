@@ -31,7 +31,8 @@ def train_churn(
 ) -> PipelineModel:
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     forest = RandomForestClassifier(
-        labelCol="churned", numTrees=num_trees, maxDepth=max_depth, seed=seed
+        labelCol="churned", numTrees=num_trees, maxDepth=max_depth, seed=seed,
+        cacheNodeIds=True, maxMemoryInMB=512,
     )
     return Pipeline(stages=[assembler, forest]).fit(train)
 

@@ -13,77 +13,27 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockweave.durable import durable
 from stockweave.functions.order_stats import percentile
+from stockweave.learning import trees as tree_arrays
+from stockweave.learning.trees import grow_tree, mean_path, path_lengths
 from stockweave.operators.ranking import head_of_groups
 
 FEATURES = ("quantity", "unit_price", "total_amount", "shipping_cost", "discount_pct")
 SCORE = "isolation_score"
 SCORE_STEPS = 10**9  # scores are kept to nine decimals
 
+# The array functions travel with the tasks: executors need numpy and pandas, not this package.
+cloudpickle.register_pickle_by_value(tree_arrays)
+
 _TREE = "tree int, feature array<int>, cut array<double>, path array<double>"
 _HASH_RANGE = 1 << 20
 
 
-def mean_path(n: int) -> float:
-    """Mean path length of an unsuccessful search in a binary search tree of `n` values."""
-    if n <= 1:
-        return 0.0
-    if n == 2:
-        return 1.0
-    return 2.0 * (math.log(n - 1.0) + np.euler_gamma) - 2.0 * (n - 1.0) / n
-
-
-def grow_tree(x: np.ndarray, depth: int, rng: np.random.Generator):
-    """A complete binary tree in heap order: `feature` and `cut` of the inner nodes, and the
-    path length stored at each bottom position."""
-    inner = 2**depth - 1
-    feature = np.zeros(inner, dtype=np.int32)
-    cut = np.full(inner, np.inf)  # below a leaf everything falls to the left
-    path = np.zeros(inner + 1)
-    open_nodes = [(0, 0, np.arange(len(x)))]
-    while open_nodes:
-        node, level, rows = open_nodes.pop()
-        values = x[rows]
-        varying = np.flatnonzero(values.max(axis=0) > values.min(axis=0)) if len(rows) > 1 else []
-        if level == depth or len(varying) == 0:
-            bottom = (node + 1) * 2 ** (depth - level) - 1 - inner
-            path[bottom] = level + mean_path(len(rows))
-            continue
-        f = int(rng.choice(varying))
-        feature[node] = f
-        cut[node] = rng.uniform(values[:, f].min(), values[:, f].max())
-        right = values[:, f] > cut[node]
-        open_nodes.append((2 * node + 1, level + 1, rows[~right]))
-        open_nodes.append((2 * node + 2, level + 1, rows[right]))
-    return feature, cut, path
-
-
-def path_lengths(
-    x: np.ndarray, feature: np.ndarray, cut: np.ndarray, path: np.ndarray, block: int = 2048
-) -> np.ndarray:
-    """Mean path length of every row over all trees (arrays of shape trees x nodes)."""
-    trees, inner = feature.shape
-    feature, cut, path = feature.ravel(), cut.ravel(), path.ravel()
-    depth = (inner + 1).bit_length() - 1
-    offset = (np.arange(trees, dtype=np.int32) * inner)[None, :]
-    leaf_offset = (np.arange(trees, dtype=np.int32) * (inner + 1))[None, :]
-    result = np.empty(len(x))
-    for start in range(0, len(x), block):  # small blocks stay in the processor cache
-        rows = np.ascontiguousarray(x[start : start + block])
-        base = (np.arange(len(rows), dtype=np.int32) * rows.shape[1])[:, None]
-        flat = rows.ravel()
-        node = np.zeros((len(rows), trees), dtype=np.int32)
-        for _ in range(depth):
-            at = node + offset
-            node = 2 * node + 1 + (flat[base + feature[at]] > cut[at])
-        result[start : start + block] = path[node - inner + leaf_offset].mean(axis=1)
-    return result
-
-
 @dataclass
 class IsolationForest:
     features: tuple[str, ...]

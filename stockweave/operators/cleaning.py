@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockweave.operators.ranking import head_of_groups
 from stockweave.schemas import MONEY, PRICE
 
 UNKNOWN_EMAIL = "unknown@example.com"
@@ -17,30 +18,17 @@ NON_POSITIVE_QUANTITY = "non_positive_quantity"
 NON_POSITIVE_TOTAL = "non_positive_total"
 
 
-def dedupe_first(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), copies: str | None = None
-) -> DataFrame:
+def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Keep the first row of every key; nulls are equal as keys and sort first.
 
     `order` says what "first" means; the remaining columns break its ties, so the result
-    does not depend on how the rows are spread. One aggregation does it: copies collapse
-    before the shuffle and a key repeated a billion times costs one row per task.
-    `copies` names an optional column with the number of rows each key had.
+    does not depend on how the rows are spread. Copies are dropped before the shuffle as
+    well as after it: a key repeated a billion times sends one row per task.
     """
-    keys = list(keys)
-    order = [c for c in order if c not in keys]
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    if not order + rest:
-        kept = df.groupBy(*keys).agg(F.count("*").alias("_copies"))
-        columns = [F.col(c) for c in keys]
-    else:
-        kept = df.groupBy(*keys).agg(
-            F.min(F.struct(*order, *rest)).alias("_first"), F.count("*").alias("_copies")
-        )
-        columns = [F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in df.columns]
-    if copies:
-        columns.append(F.col("_copies").alias(copies))
-    return kept.select(*columns)
+    ranked = [*order, *(c for c in df.columns if c not in order and c not in keys)]
+    if not ranked:
+        return df.distinct()
+    return head_of_groups(df, keys, [F.col(c) for c in ranked], 1)
 
 
 def split_null_key(df: DataFrame, key: str = "customer_id") -> tuple[DataFrame, DataFrame]:
@@ -153,15 +141,9 @@ def cleaning_report(
     order: Sequence[str] = (),
 ) -> DataFrame:
     """Audit counts: one pass per table, whatever the number of rules."""
-    lines = dedupe_first(
-        orders.select(ORDER_KEY, *[c for c in orders.columns if c != ORDER_KEY]),
-        [ORDER_KEY],
-        order,
-        copies="copies",
-    ).withColumn("reason", reject_reason())
+    lines = dedupe_first(orders, [ORDER_KEY], order).withColumn("reason", reject_reason())
     reason = F.col("reason")
     order_counts = lines.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("start"),
         F.count("*").alias("after_dedupe"),
         F.count_if(reason == MISSING_CUSTOMER).alias("quarantined_no_customer"),
         # null quantities and totals are dropped but were never counted as negative
@@ -172,7 +154,10 @@ def cleaning_report(
             "negative_total"
         ),
         F.count_if(reason.isNull()).alias("clean"),
-        (F.coalesce(F.sum("copies"), F.lit(0)) - F.count_if(reason.isNull())).alias("removed"),
+    )
+    started = orders.agg(F.count("*").alias("start"))
+    order_counts = order_counts.withColumn("start", started.scalar()).withColumn(
+        "removed", F.col("start") - F.col("clean")
     )
 
     def fixed(df: DataFrame, column: str, label: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockweave.durable import durable
 from stockweave.functions.scalar import stock_status, transfer_priority
 from stockweave.operators.ranking import head_of_groups
 
@@ -133,9 +134,11 @@ def inventory_rebalancing(
         .limit(limit)
         .drop("best")
     )
-    # `leaders` has at most `limit` rows, so it may be broadcast at any scale.
-    pool = sides.join(F.broadcast(leaders), "product_id").withColumn(
-        "worth", _worth(F.col("units"))
+    # `leaders` has at most `limit` rows, so it may be broadcast at any scale. What it
+    # selects is small as a rule and is read four times below, so it is written once.
+    pool = durable(
+        sides.join(F.broadcast(leaders), "product_id").withColumn("worth", _worth(F.col("units"))),
+        "transfers",
     )
 
     by_size = [F.desc("units"), F.col("warehouse_id")]
