@@ -3,11 +3,14 @@
 Anything read by more than one job (order-statistic rounds, two sinks fed by one
 cleaning pass) is written once to the cluster's shared scratch folder and read
 back as Parquet, so later jobs scan only the columns they need and a lost
-executor costs a re-read, not a re-computation.
+executor costs a re-read, not a re-computation. The folder is scratch space: what a
+finished run left there may be removed.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -22,6 +25,7 @@ def scratch_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         current = tempfile.mkdtemp(prefix="stockweave-")
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return current

@@ -17,15 +17,23 @@ def _mean_total():
 
 
 def monthly_sales(orders: DataFrame) -> DataFrame:
+    """Grouped by the first day of the month, which is cheaper per row than its text form."""
     return (
         _sold(orders)
-        .groupBy(year_month("order_date").alias("year_month"))
+        .groupBy(F.trunc("order_date", "month").alias("first_day"))
         .agg(
             F.count("order_line_id").alias("total_orders"),
             F.sum("total_amount").cast("decimal(28,2)").alias("total_revenue"),
             F.sum("quantity").alias("total_quantity"),
             round_half_up(_mean_total()).alias("avg_order_value"),
         )
+        .select(
+            year_month("first_day").alias("year_month"),
+            "total_orders",
+            "total_revenue",
+            "total_quantity",
+            "avg_order_value",
+        )
     )
 
 

@@ -88,6 +88,7 @@ def head_of_groups(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int
 ) -> DataFrame:
     """First `n` rows of every group. Spark trims each group to `n` rows before the shuffle
-    as well as after it, so a large group never travels whole."""
+    as well as after it, so a large group never travels whole. It does so for `n` up to
+    `spark.sql.optimizer.windowGroupLimitThreshold` (1000)."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_at", F.row_number().over(w)).filter(F.col("_at") <= n).drop("_at")

@@ -90,6 +90,15 @@ _VIEWS = {
            CAST(20 + (p * 13 + w * 7) % 81 AS INT) AS reorder_point
     FROM (SELECT DISTINCT l_partkey AS p, l_suppkey AS w FROM lineitem) pairs""",
     ),
+    "clean_products": (
+        ("products",),
+        "\n    SELECT * REPLACE (COALESCE(cost_price, 0) AS cost_price) FROM products",
+    ),
+    "clean_inventory": (
+        ("raw_inventory",),
+        "\n    SELECT * REPLACE (COALESCE(quantity_on_hand, 0) AS quantity_on_hand)"
+        " FROM raw_inventory",
+    ),
     # ---- operators other queries build on
     "deduped": (
         ("raw_orders",),
@@ -312,6 +321,48 @@ _QUANTITY = ", CAST(SUM(quantity) AS BIGINT) AS total_quantity"
 _STATUS = """CASE WHEN quantity_on_hand > reorder_point * 2 THEN 'Overstocked'
             WHEN quantity_on_hand < reorder_point THEN 'Understocked' ELSE 'Normal' END"""
 
+
+
+def _inventory_status(stock: str) -> str:
+    return with_views(
+        f"""
+SELECT i.product_id, product_name, category, warehouse_name, region, quantity_on_hand,
+       reorder_point, quantity_reserved, {_STATUS} AS stock_status
+FROM {stock} i JOIN products p ON i.product_id = p.product_id
+JOIN warehouses w ON i.warehouse_id = w.warehouse_id
+WHERE quantity_on_hand IS NOT NULL""",
+        stock,
+        "products",
+        "warehouses",
+    )
+
+
+def _rebalancing(stock: str, costs: str) -> str:
+    units = "LEAST(o.quantity_on_hand - o.reorder_point, u.reorder_point - u.quantity_on_hand)"
+    status = (
+        f"(SELECT *, {_STATUS} AS stock_status FROM {stock} WHERE quantity_on_hand IS NOT NULL)"
+    )
+    return with_views(
+        f"""
+SELECT product_id, source_warehouse_id, dest_warehouse_id, recommended_qty,
+       CAST(savings AS DOUBLE) AS estimated_savings,
+       CASE WHEN needed > 100 THEN 'High' WHEN needed > 50 THEN 'Medium' ELSE 'Low' END
+         AS priority
+FROM (
+  SELECT o.product_id, o.warehouse_id AS source_warehouse_id,
+         u.warehouse_id AS dest_warehouse_id, {units} AS recommended_qty,
+         {units} * cost_price AS savings, u.reorder_point - u.quantity_on_hand AS needed
+  FROM {status} o JOIN {status} u ON o.product_id = u.product_id
+  JOIN {costs} p ON p.product_id = o.product_id
+  WHERE o.stock_status = 'Overstocked' AND u.stock_status = 'Understocked'
+    AND o.warehouse_id <> u.warehouse_id) t
+ORDER BY savings DESC NULLS LAST, product_id, source_warehouse_id, dest_warehouse_id
+LIMIT 100""",
+        stock,
+        costs,
+    )
+
+
 _ERROR = "CAST(ABS(CAST(total_quantity AS DOUBLE) - rolling_3m_avg) AS DECIMAL(28,8))"
 _SHARE = """CASE WHEN total_quantity > 10 THEN CAST(ABS(CAST(total_quantity AS DOUBLE)
          - rolling_3m_avg) / ABS(CAST(total_quantity AS DOUBLE)) AS DECIMAL(28,8)) END"""
@@ -501,46 +552,10 @@ JOIN warehouses w ON f.warehouse_id = w.warehouse_id""",
             "products",
             "warehouses",
         ),
-        "inventory_status": with_views(
-            f"""
-SELECT i.product_id, product_name, category, warehouse_name, region, quantity_on_hand,
-       reorder_point, quantity_reserved, {_STATUS} AS stock_status
-FROM raw_inventory i JOIN products p ON i.product_id = p.product_id
-JOIN warehouses w ON i.warehouse_id = w.warehouse_id
-WHERE quantity_on_hand IS NOT NULL""",
-            "raw_inventory",
-            "products",
-            "warehouses",
-        ),
-        "inventory_rebalancing": with_views(
-            f"""
-SELECT product_id, source_warehouse_id, dest_warehouse_id, recommended_qty,
-       CAST(savings AS DOUBLE) AS estimated_savings,
-       CASE WHEN needed > 100 THEN 'High' WHEN needed > 50 THEN 'Medium' ELSE 'Low' END
-         AS priority
-FROM (
-  SELECT o.product_id, o.warehouse_id AS source_warehouse_id,
-         u.warehouse_id AS dest_warehouse_id,
-         LEAST(o.quantity_on_hand - o.reorder_point, u.reorder_point - u.quantity_on_hand)
-           AS recommended_qty,
-         LEAST(o.quantity_on_hand - o.reorder_point, u.reorder_point - u.quantity_on_hand)
-           * cost_price AS savings,
-         u.reorder_point - u.quantity_on_hand AS needed
-  FROM status o JOIN status u ON o.product_id = u.product_id
-  JOIN products p ON p.product_id = o.product_id
-  WHERE o.stock_status = 'Overstocked' AND u.stock_status = 'Understocked'
-    AND o.warehouse_id <> u.warehouse_id) t
-ORDER BY savings DESC NULLS LAST, product_id, source_warehouse_id, dest_warehouse_id
-LIMIT 100""",
-            "raw_inventory",
-            "products",
-        ).replace(
-            "\nSELECT product_id, source",
-            f""", status AS (SELECT *, {_STATUS} AS stock_status FROM raw_inventory
-    WHERE quantity_on_hand IS NOT NULL)
-SELECT product_id, source""",
-            1,
-        ),
+        "inventory_status": _inventory_status("raw_inventory"),
+        "inventory_status_clean": _inventory_status("clean_inventory"),
+        "inventory_rebalancing": _rebalancing("raw_inventory", "products"),
+        "inventory_rebalancing_clean": _rebalancing("clean_inventory", "clean_products"),
         "warehouse_scoring": with_views(
             f"""
 SELECT w.warehouse_id, warehouse_name, region, COALESCE(n, 0) AS total_orders,

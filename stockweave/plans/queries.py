@@ -289,6 +289,25 @@ def inventory_rebalancing(spark, sf_dir):
     )
 
 
+@query
+def inventory_status_clean(spark, sf_dir):
+    """Missing counts become 0 in cleaning and then read as understocked."""
+    return reports.inventory_report(
+        cleaning.clean_inventory(fx.raw_inventory(spark, sf_dir)),
+        fx.products(spark, sf_dir),
+        fx.warehouses(spark, sf_dir),
+    )
+
+
+@query
+def inventory_rebalancing_clean(spark, sf_dir):
+    """Cleaned inputs: missing counts are needs, missing costs save nothing."""
+    return inventory.inventory_rebalancing(
+        cleaning.clean_inventory(fx.raw_inventory(spark, sf_dir)),
+        cleaning.clean_products(fx.products(spark, sf_dir)),
+    )
+
+
 @query
 def warehouse_scoring(spark, sf_dir):
     return warehouses.warehouse_scoring(fx.warehouses(spark, sf_dir), fx.raw_orders(spark, sf_dir))

@@ -33,5 +33,15 @@ def read_jdbc(spark: SparkSession, url: str, query: str, **options) -> DataFrame
 
 
 def write_options(url: str, table: str, **extra: str) -> dict[str, str]:
-    """Options of a full refresh: rows are replaced, the table and its grants stay."""
-    return {"url": url, "dbtable": table, "truncate": "true", "batchsize": "10000", **extra}
+    """Options of a full refresh: rows are replaced, the table and its grants stay.
+
+    `numPartitions` bounds the connections opened at once, whatever the size of the table.
+    """
+    return {
+        "url": url,
+        "dbtable": table,
+        "truncate": "true",
+        "batchsize": "10000",
+        "numPartitions": "32",
+        **extra,
+    }
