@@ -152,9 +152,12 @@ def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def demand_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def demand_orders(
+    spark: SparkSession, sf_dir: str, orders: DataFrame | None = None
+) -> DataFrame:
     """Sold order lines at a grain with enough history: brand and region in place of
     product and warehouse."""
+    orders = raw_orders(spark, sf_dir) if orders is None else orders
     brand = _scan(spark, sf_dir, "part").selectExpr(
         "p_partkey AS product_id", "CAST(substring(p_brand, 7) AS BIGINT) AS brand_id"
     )
@@ -164,8 +167,7 @@ def demand_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .selectExpr("s_suppkey AS warehouse_id", "CAST(n_regionkey AS BIGINT) AS region_id")
     )
     return (
-        raw_orders(spark, sf_dir)
-        .filter("quantity > 0")
+        orders.filter("quantity > 0")
         .join(brand, "product_id")
         .join(region, "warehouse_id")
     )

@@ -262,6 +262,18 @@ def with_views(sql: str, *names: str) -> str:
     return f"WITH {ctes}\n{sql}"
 
 
+def _from_clean(sql: str) -> str:
+    """The same text with the cleaned orders in place of the raw ones."""
+    body = _VIEWS["raw_orders"][1]
+    ranked = _VIEWS["deduped"][1].replace("FROM raw_orders", "FROM feed")
+    clean = "customer_id IS NOT NULL AND quantity > 0 AND total_amount > 0"
+    return sql.replace(
+        f"raw_orders AS ({body})",
+        f"feed AS ({body}),\n  first_rows AS ({ranked}),\n"
+        f"  raw_orders AS (SELECT * FROM first_rows WHERE {clean})",
+    )
+
+
 _ORDER_COLUMNS = """order_line_id, customer_id, product_id, warehouse_id, order_date,
   ship_date, delivery_date, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
   CAST(discount_pct AS DOUBLE) AS discount_pct, CAST(total_amount AS DOUBLE) AS total_amount,
@@ -449,6 +461,17 @@ _CELLS = """brand_id, region_id, year, month, total_quantity, total_revenue, ord
   avg_quantity"""
 
 
+FROM_CLEAN = (
+    "customer_summary",
+    "executive_overview",
+    "warehouse_scoring",
+    "rfm_segmentation",
+    "churn_features",
+    "demand_features",
+    "dq_report",
+)
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {
         # sources and cleaning
@@ -674,4 +697,6 @@ FROM raw_orders""",
         ),
         "order_stream_clean": _orders("passed"),
     }
+    for name in FROM_CLEAN:
+        sql[f"{name}_from_clean"] = _from_clean(sql[name])
     return sql

@@ -429,6 +429,63 @@ def dq_report(spark, sf_dir):
     )
 
 
+# ---- the same reports over the cleaned orders a warehouse holds
+
+
+def cleaned_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.clean_orders(fx.raw_orders(spark, sf_dir), FIRST)[0]
+
+
+@query
+def customer_summary_from_clean(spark, sf_dir):
+    return staging.customer_summary(
+        staging.stg_orders(cleaned_orders(spark, sf_dir)),
+        staging.stg_customers(fx.customers(spark, sf_dir), AS_OF),
+        AS_OF,
+    )
+
+
+@query
+def executive_overview_from_clean(spark, sf_dir):
+    return reports.executive_overview(
+        cleaned_orders(spark, sf_dir),
+        fx.products(spark, sf_dir),
+        fx.warehouses(spark, sf_dir),
+        fx.customers(spark, sf_dir),
+    )
+
+
+@query
+def warehouse_scoring_from_clean(spark, sf_dir):
+    return warehouses.warehouse_scoring(
+        fx.warehouses(spark, sf_dir), cleaned_orders(spark, sf_dir)
+    )
+
+
+@query
+def rfm_segmentation_from_clean(spark, sf_dir):
+    return segments.rfm_segmentation(cleaned_orders(spark, sf_dir), AS_OF)
+
+
+@query
+def churn_features_from_clean(spark, sf_dir):
+    return segments.churn_features(cleaned_orders(spark, sf_dir), AS_OF)
+
+
+@query
+def demand_features_from_clean(spark, sf_dir):
+    orders = fx.demand_orders(spark, sf_dir, cleaned_orders(spark, sf_dir))
+    return demand.demand_features(orders, fx.DEMAND_KEYS)
+
+
+@query
+def dq_report_from_clean(spark, sf_dir):
+    return quality.dq_report(
+        staging.stg_orders(cleaned_orders(spark, sf_dir)),
+        staging.stg_customers(fx.customers(spark, sf_dir), AS_OF),
+    )
+
+
 # ---- messages and streams
 
 
