@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_dir(spark: SparkSession) -> str:
     """Shared scratch folder: `spark.checkpoint.dir`, or a temporary one in local mode."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if current is None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")

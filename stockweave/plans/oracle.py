@@ -696,6 +696,7 @@ FROM raw_orders""",
             "SELECT COUNT(*) AS messages FROM raw_orders", "raw_orders"
         ),
         "order_stream_clean": _orders("passed"),
+        "order_stream_quarantine": _orders("deduped", "WHERE customer_id IS NULL"),
     }
     for name in FROM_CLEAN:
         sql[f"{name}_from_clean"] = _from_clean(sql[name])

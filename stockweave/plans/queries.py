@@ -524,14 +524,31 @@ def order_stream_count(spark, sf_dir):
     return spark.read.schema(counted.schema).parquet(out)
 
 
-@query
-def order_stream_clean(spark, sf_dir):
-    """A feed of distinct order lines whose returned lines are sent twice; the delay covers
-    the whole period, so no replay counts as late."""
+def _replayed_feed(spark, sf_dir):
+    """A feed of distinct order lines whose returned lines are sent twice."""
     lines = cleaning.dedupe_first(fx.raw_orders(spark, sf_dir), [cleaning.ORDER_KEY], FIRST)
     replays = lines.filter(F.col("order_status") == "Returned")
-    stream = _published(spark, cleaning.with_replays(lines, replays))
-    return _drained(spark, feed.clean_order_stream(stream, "3650 days"))
+    return _published(spark, cleaning.with_replays(lines, replays))
+
+
+# The delay covers the whole period, so that no replay counts as late.
+NEVER_LATE = "3650 days"
+
+
+@query
+def order_stream_clean(spark, sf_dir):
+    stream = feed.clean_order_stream(_replayed_feed(spark, sf_dir), NEVER_LATE)
+    return _drained(spark, stream)
+
+
+@query
+def order_stream_quarantine(spark, sf_dir):
+    """The streaming load: clean rows to one folder, quarantined rows to the one returned."""
+    stream = _replayed_feed(spark, sf_dir)
+    clean, quarantine = scratch_path(spark, "clean"), scratch_path(spark, "quarantine")
+    offsets = scratch_path(spark, "offsets")
+    feed.load_order_stream(stream, clean, quarantine, offsets, NEVER_LATE)
+    return spark.read.parquet(quarantine).select(*stream.columns)
 
 
 # ---- models

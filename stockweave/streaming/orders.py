@@ -9,26 +9,31 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stockweave.operators.cleaning import (
+    MISSING_CUSTOMER,
     ORDER_KEY,
     accepted,
     normalise_types,
     parse_dates,
     reject_reason,
+    rejected,
 )
 from stockweave.schemas import ORDERS
 
+
+
+def _is_date(field) -> bool:
+    return field.dataType.typeName() == "date"
+
+
 _MESSAGE = ", ".join(
-    f"{field.name} {'string' if field.dataType.typeName() == 'date' else field.dataType.simpleString()}"
-    for field in ORDERS
+    f"{f.name} {'string' if _is_date(f) else f.dataType.simpleString()}" for f in ORDERS
 )
 
 
 def encode_orders(df: DataFrame) -> DataFrame:
     """Orders as (key, value) messages: one flat JSON object each, absent values as null."""
     fields = [
-        F.date_format(f.name, "yyyy-MM-dd").alias(f.name)
-        if f.dataType.typeName() == "date"
-        else F.col(f.name)
+        F.date_format(f.name, "yyyy-MM-dd").alias(f.name) if _is_date(f) else F.col(f.name)
         for f in ORDERS
     ]
     return df.select(
@@ -54,9 +59,9 @@ def decode_orders(messages: DataFrame) -> DataFrame:
     )
 
 
-def clean_order_stream(orders: DataFrame, delay: str = "30 days") -> DataFrame:
-    """Batch cleaning on a stream: the first copy of an order line counts, then the row
-    rules apply.
+def classify_order_stream(orders: DataFrame, delay: str = "30 days") -> DataFrame:
+    """Batch cleaning on a stream: the first copy of an order line counts, and gets the
+    `reject_reason` of the row rules, null if it passes.
 
     State holds one entry per order line for `delay` past its order date; a replay that
     comes later than the watermark is dropped as late. Dates have day precision, so the
@@ -68,7 +73,32 @@ def clean_order_stream(orders: DataFrame, delay: str = "30 days") -> DataFrame:
         .dropDuplicatesWithinWatermark([ORDER_KEY])
         .drop("event_time")
     )
-    return normalise_types(accepted(first.withColumn("reject_reason", reject_reason())))
+    return normalise_types(first).withColumn("reject_reason", reject_reason())
+
+
+def clean_order_stream(orders: DataFrame, delay: str = "30 days") -> DataFrame:
+    return accepted(classify_order_stream(orders, delay))
+
+
+def load_order_stream(
+    orders: DataFrame, clean: str, quarantine: str, checkpoint: str, delay: str = "30 days"
+) -> StreamingQuery:
+    """Clean the stream into one folder and orders without a customer into another.
+
+    Each batch owns a partition that it replaces, so a batch that runs again after a
+    failure does not repeat rows.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        for rows, path in (
+            (accepted(batch), clean),
+            (rejected(batch, MISSING_CUSTOMER), quarantine),
+        ):
+            rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch.unpersist()
+
+    return drain_batches(classify_order_stream(orders, delay), write, checkpoint, mode="append")
 
 
 def running_count(orders: DataFrame) -> DataFrame:
@@ -76,12 +106,7 @@ def running_count(orders: DataFrame) -> DataFrame:
     return orders.groupBy().agg(F.count("*").alias("messages"))
 
 
-def drain(
-    stream: DataFrame,
-    path: str,
-    checkpoint: str,
-    fmt: str = "parquet",
-) -> StreamingQuery:
+def drain(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
     """Process everything the source holds now, append it to `path`, and stop.
 
     Offsets and output are committed per batch, so a restart adds nothing twice.

@@ -113,3 +113,12 @@ def test_hot_key_of_a_star_join_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_sizes_follow_the_input():
+    from stockweave.session import sized_for
+
+    small, large = sized_for(10**9), sized_for(100 * 10**12)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert 90_000 < int(large["spark.sql.shuffle.partitions"]) <= 100_000
+    assert large["spark.sql.files.maxPartitionBytes"] == "512m"

@@ -71,6 +71,22 @@ def test_clean_stream_drops_replays_in_and_across_batches(spark, tmp_path):
     assert ids(spark.read.parquet(out)) == [1, 4]
 
 
+def test_load_splits_the_stream(spark, tmp_path):
+    folder = tmp_path / "in"
+    clean, quarantine, offsets = (str(tmp_path / n) for n in ("clean", "quarantine", "offsets"))
+
+    def run():
+        feed.load_order_stream(opened(spark, folder), clean, quarantine, offsets)
+
+    append(folder, message(), message(), message(order_line_id=2, customer_id=None))
+    run()
+    append(folder, message(), message(order_line_id=3), message(order_line_id=4, quantity=0))
+    run()
+    run()
+    assert ids(spark.read.parquet(clean)) == [1, 3]
+    assert ids(spark.read.parquet(quarantine)) == [2]
+
+
 def test_rows_behind_the_watermark_drop(spark, tmp_path):
     folder, out, offsets = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "offsets")
 
