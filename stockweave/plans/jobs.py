@@ -15,6 +15,7 @@ from stockweave.operators import cleaning, gold, reports, staging
 from stockweave.operators.cleaning import MISSING_CUSTOMER
 from stockweave.operators.demand import DEFAULT_KEYS, demand_features
 from stockweave.operators.segments import churn_features
+from stockweave.schemas import DIMENSIONS, FACTS
 from stockweave.sources.sinks import (
     Warehouse,
     full_refresh,
@@ -25,8 +26,7 @@ from stockweave.sources.sinks import (
     write_layer,
     write_quarantine,
 )
-from stockweave.sources.tables import read_if_exists, read_raw, read_tables, register_views
-from stockweave.schemas import DIMENSIONS, FACTS
+from stockweave.sources.tables import conform, read_if_exists, read_raw, register_views
 
 Tables = Mapping[str, DataFrame]
 
@@ -98,11 +98,15 @@ def run_medallion(
 ) -> None:
     """Bronze, silver and gold layers under `lake`.
 
-    Gold is computed from raw orders unless `gold_from="silver"`. Model extracts are copied
-    to gold if they exist.
+    The input text is parsed once, into bronze; later layers scan the columns they need from
+    there. Gold is computed from raw orders unless `gold_from="silver"`. Model extracts are
+    copied to gold if they exist.
     """
     store_bronze(spark, raw_dir, lake)
-    raw = read_tables(spark, raw_dir)
+    raw = {
+        name: conform(spark.read.parquet(f"{lake}/bronze/{name}"), name)
+        for name in (*DIMENSIONS, *FACTS)
+    }
     for name, df in silver_tables(raw, order).items():
         write_layer(
             df, lake, "silver", name, month_of="order_date" if name == "fact_orders" else None

@@ -42,10 +42,15 @@ def read_raw(spark: SparkSession, name: str, path: str) -> DataFrame:
     )
 
 
+def conform(text: DataFrame, name: str) -> DataFrame:
+    """Raw text columns as the declared types, with null markers resolved."""
+    return text.select(*[_conform(f) for f in TABLES[name]])
+
+
 def read_table(spark: SparkSession, name: str, path: str, fmt: str = "csv") -> DataFrame:
     """A table with its declared types, from CSV or any columnar format Spark knows."""
     if fmt == "csv":
-        return read_raw(spark, name, path).select(*[_conform(f) for f in TABLES[name]])
+        return conform(read_raw(spark, name, path), name)
     stored = spark.read.format(fmt).load(path)
     return stored.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name]])
 

@@ -68,8 +68,8 @@ def test_full_refresh_replaces(spark, tmp_path):
 def test_catalog_tables(spark):
     warehouse = sinks.Warehouse(fmt="table")
     sinks.full_refresh(warehouses(spark, {}), "dim_warehouses", warehouse)
-    assert spark.table("dim_warehouses").count() == 1
-    spark.sql("DROP TABLE dim_warehouses")
+    assert spark.table("default.dim_warehouses").count() == 1
+    spark.sql("DROP TABLE default.dim_warehouses")
 
 
 def test_star_refresh_order(spark):
