@@ -31,8 +31,13 @@ def train_churn(
 ) -> PipelineModel:
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     forest = RandomForestClassifier(
-        labelCol="churned", numTrees=num_trees, maxDepth=max_depth, seed=seed,
-        cacheNodeIds=True, maxMemoryInMB=512,
+        labelCol="churned",
+        numTrees=num_trees,
+        maxDepth=max_depth,
+        seed=seed,
+        # deep forests: remember each row's node, and split many nodes per pass
+        cacheNodeIds=True,
+        maxMemoryInMB=512,
     )
     return Pipeline(stages=[assembler, forest]).fit(train)
 
