@@ -48,17 +48,19 @@ def locate(df: DataFrame, ranks: list[Rank], bins: int = BINS) -> list[Rank]:
     while still_open := [r for r in ranks if r.low < r.high]:
         brackets = {r.bracket: r for r in still_open}
         ids = {bracket: i for i, bracket in enumerate(brackets)}
-        marks = []
+        marks, any_inside = [], F.lit(False)
         for bracket, r in brackets.items():
             inside = F.col(r.key).between(r.low, r.high)
             if r.where is not None:
                 inside = inside & r.where
+            any_inside = any_inside | inside
             slot = F.expr(f"({r.key} - ({r.low}L)) div {r.width(bins)}L")
             marks.append(
                 F.when(inside, F.struct(F.lit(ids[bracket]).alias("id"), slot.alias("slot")))
             )
         counters = (
-            df.select(F.explode(F.array(*marks)).alias("mark"))
+            df.filter(any_inside)  # after the first round few rows are inside any range
+            .select(F.explode(F.array(*marks)).alias("mark"))
             .filter(F.col("mark").isNotNull())
             .groupBy("mark.id", "mark.slot")
             .count()
