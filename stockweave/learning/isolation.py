@@ -56,10 +56,12 @@ class IsolationForest:
     def score(self, df: DataFrame) -> DataFrame:
         """Add the isolation score of every row: near 1 for rows that are easily isolated."""
         rows = self.trees.orderBy("tree").collect()  # one row per tree
+        if not rows:  # nothing to learn from: every row is as usual as any other
+            return df.withColumn(SCORE, F.lit(0.5))
         forest = df.sparkSession.sparkContext.broadcast(
             tuple(np.array([r[c] for r in rows]) for c in ("feature", "cut", "path"))
         )
-        scale = mean_path(self.sample_size)
+        scale = mean_path(self.sample_size) or 1.0
 
         @F.pandas_udf("double")
         def isolation_score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
@@ -96,9 +98,8 @@ def fit_forest(
     )
     rows = pool.count()
     size = min(sample_size, rows)
-    share = min(1.0, 2 * size / max(1, rows))  # offers about two samples' worth to each tree
-    if rows <= 4 * size:
-        share = 1.0
+    # each tree is offered about two samples' worth, or everything where that is little
+    share = 2 * size / rows if rows > 4 * size else 1.0
     offered = (
         pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
         .withColumn("draw", F.xxhash64("row", "tree", F.lit(seed)))
@@ -132,10 +133,11 @@ def detect_anomalies(
     """
     model = fit_forest(orders, features, **forest)
     scored = durable(model.score(orders), "scored")
-    keyed = scored.select((F.col(SCORE) * SCORE_STEPS + F.lit(0.5)).cast("long").alias("step"))
+    step = (F.col(SCORE) * SCORE_STEPS + F.lit(0.5)).cast("long")
+    steps = scored.select(step.alias("step"))
     rows = scored.count()
-    cut = percentile(keyed, "step", 1 - contamination, rows, 0, SCORE_STEPS) if rows else 0.0
-    flagged = (F.col(SCORE) * SCORE_STEPS + F.lit(0.5)).cast("long") > F.lit(cut)
+    cut = percentile(steps, "step", 1 - contamination, rows, 0, SCORE_STEPS) if rows else 0.0
+    flagged = step > F.lit(cut)
     return model, scored.withColumns(
         {
             "anomaly_score": F.when(flagged, -1).otherwise(1),

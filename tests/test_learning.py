@@ -2,6 +2,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import orders
 
@@ -66,6 +67,10 @@ def test_copies_do_not_swamp_the_sample(spark, lines):
 def test_tiny_and_empty_inputs(spark, lines):
     assert iso.detect_anomalies(lines.limit(3), trees=5)[1].count() == 3
     assert iso.detect_anomalies(lines.limit(0), trees=5)[1].count() == 0
+    one = iso.detect_anomalies(lines.limit(1), trees=5)[1]
+    assert [r.is_anomaly for r in one.collect()] == [0]
+    unknown = lines.limit(2).withColumn("quantity", F.lit(None).cast("double"))
+    assert {r.is_anomaly for r in iso.detect_anomalies(unknown, trees=5)[1].collect()} == {0}
 
 
 def test_churn_model(spark, small):
