@@ -24,6 +24,7 @@ from stockweave.learning.trees import grow_tree, mean_path, path_lengths
 from stockweave.operators.ranking import head_of_groups
 
 FEATURES = ("quantity", "unit_price", "total_amount", "shipping_cost", "discount_pct")
+INPUTS = ("order_line_id", "customer_id", "product_id", "warehouse_id", *FEATURES)
 SCORE = "isolation_score"
 SCORE_STEPS = 10**9  # scores are kept to nine decimals
 

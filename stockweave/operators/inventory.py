@@ -12,6 +12,7 @@ from stockweave.functions.scalar import stock_status, transfer_priority
 from stockweave.operators.ranking import head_of_groups
 
 _AMOUNT = "decimal(28,2)"
+MAX_LIMIT = 500
 
 
 def _unpriced() -> Column:
@@ -118,8 +119,11 @@ def inventory_rebalancing(
 
     Steps 2 and 3 keep at most 2 x `limit` rows per product, side and class whatever the
     size of the product, and the result is exact. Ties are listed by product, source and
-    destination. Costs must not be negative.
+    destination. Costs must not be negative. The work within a product grows with the square
+    of `limit`, so this is a report and not an export: `limit` is at most 500.
     """
+    if not 0 < limit <= MAX_LIMIT:
+        raise ValueError(f"limit must be between 1 and {MAX_LIMIT}")
     sides = transfer_sides(inventory)
     cost = F.when(
         F.col("cost_price") < 0, F.raise_error(F.lit("cost_price must not be negative"))

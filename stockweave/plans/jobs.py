@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stockweave.durable import durable
 from stockweave.learning.churn import churn_scores
 from stockweave.learning.demand import demand_forecast
-from stockweave.learning.isolation import anomalies, detect_anomalies
+from stockweave.learning.isolation import INPUTS, anomalies, detect_anomalies
 from stockweave.operators import cleaning, gold, reports, staging
 from stockweave.operators.cleaning import MISSING_CUSTOMER
 from stockweave.operators.demand import DEFAULT_KEYS, demand_features
@@ -26,7 +26,13 @@ from stockweave.sources.sinks import (
     write_layer,
     write_quarantine,
 )
-from stockweave.sources.tables import conform, read_if_exists, read_raw, register_views
+from stockweave.sources.tables import (
+    conform,
+    if_exists,
+    read_if_exists,
+    read_raw,
+    register_views,
+)
 
 Tables = Mapping[str, DataFrame]
 
@@ -220,41 +226,38 @@ def publish_files(
     ):
         text = spark.read.option("header", True).csv(f"{extracts}/{name}")
         publish_zone(text, lake, "clean", name)
-    publish_zone(
-        spark.read.parquet(f"{quarantine}/quarantine/orders_no_customer"),
-        lake,
-        "ml-outputs",
-        "orders_no_customer",
-    )
-    publish_zone(
-        spark.read.option("header", True).csv(f"{extracts}/anomaly_orders"),
-        lake,
-        "ml-outputs",
-        "anomaly_orders",
-    )
+    for name in ("orders_no_customer", "anomaly_orders"):
+        rows = if_exists(lambda name=name: spark.read.parquet(f"{quarantine}/quarantine/{name}"))
+        if rows is not None:
+            publish_zone(rows, lake, "ml-outputs", name)
 
 
 def run_models(
     tables: Tables,
     warehouse: Warehouse,
     models: str,
+    quarantine: str,
     as_of: dt.date | None = None,
     keys: Sequence[str] = DEFAULT_KEYS,
     **boosting,
 ) -> dict[str, DataFrame]:
-    """Train the three models on cleaned orders, store them under `models`, and load the
-    forecasts and churn scores. Returns forecasts, scores, anomalies and both metrics."""
+    """Train the three models on cleaned orders, store them under `models`, load the
+    forecasts and churn scores, and quarantine the anomalies.
+
+    Returns forecasts, scores, anomalies and the metrics of the two supervised models.
+    """
     orders = tables["fact_orders"]
     demand_model, forecasts, error = demand_forecast(
         demand_features(orders, keys), keys, **boosting
     )
     churn_model, scores, hit_rate = churn_scores(churn_features(orders, as_of), as_of)
-    forest, detected = detect_anomalies(orders)
+    forest, detected = detect_anomalies(orders.select(*INPUTS))
     save_model(demand_model, f"{models}/demand")
     save_model(churn_model, f"{models}/churn")
     forest.save(f"{models}/anomaly")
     warehouse.replace(forecasts, "ml_demand_forecasts")
     full_refresh(scores, "ml_churn_scores", warehouse)
+    write_quarantine(anomalies(detected), quarantine, "anomaly_orders")
     return {
         "forecasts": forecasts,
         "scores": scores,

@@ -574,9 +574,7 @@ def churn_accuracy(spark, sf_dir):
 
 
 def _detected(spark, sf_dir):
-    orders = fx.raw_orders(spark, sf_dir).select(
-        "order_line_id", "customer_id", "product_id", "warehouse_id", *isolation.FEATURES
-    )
+    orders = fx.raw_orders(spark, sf_dir).select(*isolation.INPUTS)
     return isolation.detect_anomalies(orders)[1]
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,18 +55,22 @@ def read_table(spark: SparkSession, name: str, path: str, fmt: str = "csv") -> D
     return stored.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name]])
 
 
-def read_if_exists(
-    spark: SparkSession, name: str, path: str, fmt: str = "csv"
-) -> DataFrame | None:
-    """The table, or None where nothing is stored at `path`."""
+def if_exists(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What `read` opens, or None where nothing is stored at its path."""
     try:
-        return read_table(spark, name, path, fmt)
+        return read()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
+def read_if_exists(
+    spark: SparkSession, name: str, path: str, fmt: str = "csv"
+) -> DataFrame | None:
+    return if_exists(lambda: read_table(spark, name, path, fmt))
+
+
 def read_tables(
     spark: SparkSession, base: str, fmt: str = "csv", names: Sequence[str] = (*DIMENSIONS, *FACTS)
 ) -> dict[str, DataFrame]:

@@ -88,6 +88,12 @@ def test_negative_cost_is_an_error(spark):
         run(spark, [(1, 1, 100, 10), (1, 2, 0, 10)], {1: Decimal("-1.00")}, 3)
 
 
+@pytest.mark.parametrize("limit", [0, 501])
+def test_limit_is_bounded(spark, limit):
+    with pytest.raises(ValueError):
+        run(spark, [(1, 1, 100, 10)], {1: Decimal("1.00")}, limit)
+
+
 _ROW = st.tuples(
     st.integers(1, 3), st.integers(1, 5), st.one_of(st.none(), st.integers(0, 60)), st.integers(5, 40)
 )

@@ -76,7 +76,7 @@ def test_models_exports_and_warehouse_load(spark, raw_dir, loaded):
         ),
     }
     out = jobs.run_models(
-        keyed, Warehouse(location=f"{loaded}/wh"), f"{loaded}/models", fx.AS_OF,
+        keyed, Warehouse(location=f"{loaded}/wh"), f"{loaded}/models", loaded, fx.AS_OF,
         keys=("product_group", "warehouse_group"), max_iter=2,
     )
     assert out["forecasts"].count() > 0 and out["anomalies"].count() > 0
@@ -107,3 +107,33 @@ def test_models_exports_and_warehouse_load(spark, raw_dir, loaded):
 
     jobs.publish_files(spark, raw_dir, extracts, loaded, f"{loaded}/zones")
     assert sorted(os.listdir(f"{loaded}/zones")) == ["clean", "ml-outputs", "raw"]
+    assert sorted(os.listdir(f"{loaded}/zones/ml-outputs")) == [
+        "anomaly_orders", "orders_no_customer",
+    ]
+
+
+def test_command_line(spark, raw_dir, tmp_path):
+    from stockweave.__main__ import main
+
+    where = {n: f"{tmp_path}/{n}" for n in ("warehouse", "quarantine", "extracts", "cloud", "lake")}
+    main(["etl", "--raw", raw_dir, "--warehouse", where["warehouse"], "--quarantine", where["quarantine"]], spark)
+    main(["marts", "--warehouse", where["warehouse"], "--as-of", "2001-08-02"], spark)
+    assert spark.read.parquet(f"{where['warehouse']}/customer_summary").count() == 150
+
+    # stand-ins for what the model job leaves behind
+    orders = spark.read.parquet(f"{where['warehouse']}/fact_orders")
+    orders.selectExpr(
+        "product_id", "warehouse_id", "order_date AS forecast_date",
+        "CAST(quantity AS DOUBLE) AS predicted_demand", "'m' AS model_name",
+    ).write.parquet(f"{where['warehouse']}/ml_demand_forecasts")
+    orders.selectExpr(
+        "customer_id", "0.5D AS churn_probability", "'Medium Risk' AS risk_segment",
+        "order_date AS scored_date",
+    ).dropDuplicates(["customer_id"]).write.parquet(f"{where['warehouse']}/ml_churn_scores")
+    orders.write.parquet(f"{where['quarantine']}/quarantine/anomaly_orders")
+
+    main(["exports", "--warehouse", where["warehouse"], "--quarantine", where["quarantine"], "--extracts", where["extracts"]], spark)
+    main(["load", "--raw", raw_dir, "--warehouse", where["cloud"], "--extracts", where["extracts"]], spark)
+    assert spark.read.parquet(f"{where['cloud']}/ml_churn_scores").count() == 150
+    main(["publish", "--raw", raw_dir, "--extracts", where["extracts"], "--quarantine", where["quarantine"], "--lake", where["lake"]], spark)
+    assert len(os.listdir(f"{where['lake']}/clean")) == 5
