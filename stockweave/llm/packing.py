@@ -3,7 +3,8 @@
 A document's ids end with `end_id`. Documents longer than a sequence are cut into pieces of
 its capacity; their first piece may be shorter. A piece goes where it makes the sum, over all
 gaps, of the squared number of open sequences with that gap smallest; a new sequence is one of
-the choices, and among equals the smallest gap wins. Pieces are placed longest first.
+the choices, and among equals the smallest gap wins. Pieces are placed longest first; those in
+sequences that are not nearly full are placed again by the same rule while that saves sequences.
 
 The rule needs lengths only. They are dealt at random to shards of bounded size, which are
 packed in tasks of their own. What ends in sequences that are not nearly full goes to another
@@ -100,11 +101,37 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     return where, offset
 
 
+def pack_lengths(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sequence number, offset) of each length: the rule, longest first, then again.
+
+    Sequences that are nearly full stay; what is in the others is placed anew, without their
+    company, as long as that saves sequences.
+    """
+    where = np.empty(len(lengths), dtype=np.int64)
+    offset = np.empty(len(lengths), dtype=np.int64)
+    todo, made = np.argsort(-lengths, kind="stable"), 0
+    while len(todo):
+        some, place = sum_of_squares(lengths[todo], capacity)
+        filled = np.bincount(some, weights=lengths[todo])
+        if len(todo) < len(lengths) and len(filled) >= len(np.unique(where[todo])):
+            break  # the earlier places are as good
+        loose = filled < NEARLY_FULL * capacity
+        order = np.argsort(loose, kind="stable")  # those to stay are numbered first
+        number = np.empty(len(filled), dtype=np.int64)
+        number[order] = np.arange(len(filled))
+        where[todo], offset[todo] = made + number[some], place
+        made += int((~loose).sum())
+        todo = todo[loose[some]]
+        if loose.all():
+            break
+    return where, offset
+
+
 def _pack_shard(capacity: int, base: int):
     def pack(key: tuple, shard: pd.DataFrame) -> pd.DataFrame:
         shard = shard.sort_values(["length", "row"], ascending=[False, True])
         sizes = shard["length"].to_numpy()
-        where, offset = sum_of_squares(sizes, capacity)
+        where, offset = pack_lengths(sizes, capacity)
         filled = np.bincount(where, weights=sizes).astype(np.int64)
         return pd.DataFrame(
             {
