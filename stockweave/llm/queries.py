@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweave.llm import packing
+from stockweave.llm import linededup, packing, quality
 from stockweave.llm.common import table
+from stockweave.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,8 +17,12 @@ _SQL: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:
-    _REGISTRY[fn.__name__] = fn
-    return fn
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf_dir)
+
+    _REGISTRY[fn.__name__] = run
+    return run
 
 
 def queries() -> dict[str, Query]:
@@ -39,3 +44,50 @@ def vocabulary(name: str) -> str:
 def op1_sum_of_squares_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, vocabulary("byte_bpe_50k.json")).drop("row")
+
+
+@query
+def op6_suffix_repetition(spark, sf_dir):
+    return quality.rules(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_line_windows(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup_lines(docs)
+
+
+# Lines with a word are numbered; a window is known by its three lines, joined.
+_SQL["op7_line_windows"] = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS pos
+  FROM documents
+), filled AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS nr
+  FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), windows AS (
+  SELECT a.doc_id, a.pos AS first_at, c.pos AS last_at,
+         a.line || chr(10) || b.line || chr(10) || c.line AS content
+  FROM filled a
+  JOIN filled b ON b.doc_id = a.doc_id AND b.nr = a.nr + 1
+  JOIN filled c ON c.doc_id = a.doc_id AND c.nr = a.nr + 2
+), later AS (
+  SELECT doc_id, first_at, last_at FROM (
+    SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, first_at) AS place
+    FROM windows
+  ) WHERE place > 1
+), gone AS (
+  SELECT DISTINCT l.doc_id, l.pos FROM lines l
+  JOIN later w ON w.doc_id = l.doc_id AND l.pos BETWEEN w.first_at AND w.last_at
+), kept AS (
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.pos) AS text
+  FROM lines l ANTI JOIN gone g ON g.doc_id = l.doc_id AND g.pos = l.pos
+  GROUP BY l.doc_id
+), counts AS (
+  SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id
+)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+       coalesce(c.n, 0) AS n_removed
+FROM documents d LEFT JOIN kept k USING (doc_id) LEFT JOIN counts c USING (doc_id)
+"""
