@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweave.llm import linededup, packing, quality
+from stockweave.llm import linededup, packing, quality, topk
 from stockweave.llm.common import table
 from stockweave.llm.shipping import ship
 
@@ -91,3 +91,28 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') EN
        coalesce(c.n, 0) AS n_removed
 FROM documents d LEFT JOIN kept k USING (doc_id) LEFT JOIN counts c USING (doc_id)
 """
+
+
+@query
+def op9_segment_topk(spark, sf_dir):
+    vectors = topk.whole_vectors(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
+_SQL["op9_segment_topk"] = r"""
+WITH whole AS (
+  SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place
+  FROM scored
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20
+"""
