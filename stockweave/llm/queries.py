@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockweave.llm import linededup, packing, quality, topk
+from stockweave.llm import linededup, packing, quality, tokenfiles, topk
 from stockweave.llm.common import table
 from stockweave.llm.shipping import ship
 
@@ -116,3 +116,9 @@ WITH whole AS (
 )
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20
 """
+
+
+@query
+def op2_dictionary_token_files(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return tokenfiles.token_table(docs, vocabulary("word_bpe_49k.json"), end_id=1)
