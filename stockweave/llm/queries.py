@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stockweave.llm import linededup, packing, quality, tokenfiles, topk
+from stockweave.llm import langid, linededup, packing, quality, tokenfiles, topk
 from stockweave.llm.common import table
 from stockweave.llm.shipping import ship
 
@@ -122,3 +123,10 @@ SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 def op2_dictionary_token_files(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return tokenfiles.token_table(docs, vocabulary("word_bpe_49k.json"), end_id=1)
+
+
+@query
+def op3_rank_order_language(spark, sf_dir):
+    fold = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 4
+    held_out = F.coalesce(fold == 2, F.lit(False))
+    return langid.identify(table(spark, sf_dir, "documents"), held_out)
