@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm import langid, linededup, packing, quality, tokenfiles, topk
+from stockweave.llm import langid, linededup, mixing, packing, quality, tokenfiles, topk
 from stockweave.llm.common import table
 from stockweave.llm.shipping import ship
 
@@ -130,3 +130,12 @@ def op3_rank_order_language(spark, sf_dir):
     fold = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 4
     held_out = F.coalesce(fold == 2, F.lit(False))
     return langid.identify(table(spark, sf_dir, "documents"), held_out)
+
+
+@query
+def op4_raked_mixture(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return mixing.mix(docs).drop("row")
+
+
+_SQL["op4_raked_mixture"] = mixing.sql()
