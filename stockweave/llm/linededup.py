@@ -146,3 +146,23 @@ def dedup_lines(
         ],
         "n_removed",
     )
+
+
+def clean_documents(
+    docs: DataFrame,
+    lines: int = LINES,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    n_chars: str = "n_chars",
+) -> DataFrame:
+    """The rows of `docs` with the text cleaned and, if there is such a column, its length.
+
+    Rows that lost every line with a word are gone.
+    """
+    out = dedup_lines(docs, lines, doc_id, text)
+    out = out.filter((F.col("n_removed") == 0) | F.col(text).rlike(r"[^\x20\x09-\x0D]"))
+    if n_chars in docs.columns and n_chars != text:
+        kind = docs.schema[n_chars].dataType
+        changed = F.when(F.col("n_removed") > 0, F.length(F.col(text)).cast(kind))
+        out = out.withColumn(n_chars, changed.otherwise(F.col(n_chars)))
+    return out.select(*docs.columns)

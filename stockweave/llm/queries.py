@@ -7,8 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm import langid, linededup, mixing, packing, quality, tokenfiles, topk
-from stockweave.llm.common import table
+import corpus_pipeline
+from stockweave.llm import (
+    langid,
+    linededup,
+    mixing,
+    neardup,
+    packing,
+    quality,
+    tokenfiles,
+    topk,
+)
+from stockweave.llm.common import table, vocabulary
 from stockweave.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,13 +44,6 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
-def vocabulary(name: str) -> str:
-    """Place of a public vocabulary file."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 @query
 def op1_sum_of_squares_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -139,3 +142,13 @@ def op4_raked_mixture(spark, sf_dir):
 
 
 _SQL["op4_raked_mixture"] = mixing.sql()
+
+
+@query
+def op5_weighted_minhash(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).drop("key")
+
+
+@query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
