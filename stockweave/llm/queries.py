@@ -15,6 +15,7 @@ from stockweave.llm import (
     neardup,
     packing,
     quality,
+    substrings,
     tokenfiles,
     topk,
 )
@@ -149,6 +150,11 @@ def op5_weighted_minhash(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents")).drop("key")
 
 
+@query
+def op10_induced_substrings(spark, sf_dir):
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)

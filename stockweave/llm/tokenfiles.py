@@ -11,7 +11,7 @@ allows, else 32-bit, compressed by zstandard with the dictionary, so a document
 offsets alone. Spark's writer makes the files, so a lost task leaves nothing half-written.
 
 The dictionary is trained on a sample of documents: the `SAMPLE_DOCUMENTS` smallest hashes of
-doc_id, each cut into chunks, up to `SAMPLE_BYTES`. It affects sizes only, never contents.
+doc_id and text, each cut into chunks, up to `SAMPLE_BYTES`. It affects sizes only, never contents.
 
 A null text is empty and consists of the end id. Rows that repeat a doc_id stay next to each
 other, ordered by the hash of their text. Null doc_ids come first. An empty table gives files
@@ -132,7 +132,11 @@ def write(
         made = pa.array([train_dictionary(arrays)], pa.binary())
         yield pa.RecordBatch.from_arrays([made, pa.array([wide])], ["dictionary", "wide"])
 
-    sample = rows.orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(SAMPLE_DOCUMENTS)
+    # hashes are ranked first, so that only texts of the sample move
+    hashed = rows.withColumn("place", F.xxhash64("doc_id", "text"))
+    last = hashed.select("place").orderBy("place").limit(SAMPLE_DOCUMENTS).agg(F.max("place"))
+    cut = last.first()[0]
+    sample = hashed.filter(F.col("place") <= F.lit(cut)).select("text").limit(SAMPLE_DOCUMENTS)
     learned = sample.repartition(1).mapInArrow(learn, "dictionary binary, wide boolean")
     learned.write.parquet(f"{path}/dictionary")
     dictionary = bytes(spark.read.parquet(f"{path}/dictionary").first()["dictionary"])
