@@ -14,6 +14,7 @@ from stockweave.llm import (
     mixing,
     neardup,
     packing,
+    pseudolm,
     quality,
     substrings,
     tokenfiles,
@@ -150,6 +151,11 @@ def op5_weighted_minhash(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents")).drop("key")
 
 
+@query
+def op8_masked_likelihood(spark, sf_dir):
+    return pseudolm.pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_induced_substrings(spark, sf_dir):
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
