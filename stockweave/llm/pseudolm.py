@@ -226,7 +226,7 @@ def score(
             scores = forward(p, windows[at : at + BATCH])[2]
             logs[at : at + BATCH] += scores[np.arange(len(scores)), classes[at : at + BATCH]]
         n = per_document(np.ones(len(owner)), owner, batch.num_rows)
-        total = np.bincount(owner, weights=logs, minlength=batch.num_rows)
+        total = np.bincount(owner, weights=logs, minlength=batch.num_rows).astype(np.float64)
         mean = total / np.maximum(n, 1)
         return pa.RecordBatch.from_arrays(
             [
