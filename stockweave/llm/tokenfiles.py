@@ -138,6 +138,8 @@ def write(
     cut = last.first()[0]
     sample = hashed.filter(F.col("place") <= F.lit(cut)).select("text").limit(SAMPLE_DOCUMENTS)
     learned = sample.repartition(1).mapInArrow(learn, "dictionary binary, wide boolean")
+    if cut is None:  # no rows
+        learned = spark.createDataFrame([(bytearray(), wide)], "dictionary binary, wide boolean")
     learned.write.parquet(f"{path}/dictionary")
     dictionary = bytes(spark.read.parquet(f"{path}/dictionary").first()["dictionary"])
 
