@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from stockweave.operators.segments import churn_score_rows
 from stockweave.schemas import DIMENSIONS, FACTS, TABLES
 from stockweave.sources.databases import write_options
+from stockweave.sources.tables import CSV
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV).csv(path)
 
 
 def write_layer(
@@ -40,7 +41,7 @@ def write_layer(
         )
     writer = writer_input.write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(**CSV)
     if month_of:
         writer = writer.partitionBy("month_key")
     writer.save(path)

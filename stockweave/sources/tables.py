@@ -31,12 +31,24 @@ def _conform(field: StructField) -> Column:
     return value.cast(kind).alias(name)
 
 
-def read_raw(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """A CSV table exactly as stored: every column is text."""
+# Quotes inside a quoted field are doubled; this is how other tools write and read CSV.
+CSV = {"header": "true", "quote": '"', "escape": '"'}
+
+
+def read_raw(
+    spark: SparkSession, name: str, path: str, multi_line: bool = False
+) -> DataFrame:
+    """A CSV table exactly as stored: every column is text.
+
+    A row with another number of fields than the header is an error. `multi_line` allows line
+    breaks inside quoted fields; a file is then read by one task, as it can't be split.
+    """
     text = StructType([StructField(f.name, StringType(), True) for f in TABLES[name]])
     return (
         spark.read.schema(text)
-        .option("header", True)
+        .options(**CSV)
+        .option("mode", "FAILFAST")
+        .option("multiLine", multi_line)
         .option("enforceSchema", False)  # a header that disagrees with the schema is an error
         .csv(path)
     )
@@ -47,10 +59,12 @@ def conform(text: DataFrame, name: str) -> DataFrame:
     return text.select(*[_conform(f) for f in TABLES[name]])
 
 
-def read_table(spark: SparkSession, name: str, path: str, fmt: str = "csv") -> DataFrame:
+def read_table(
+    spark: SparkSession, name: str, path: str, fmt: str = "csv", multi_line: bool = False
+) -> DataFrame:
     """A table with its declared types, from CSV or any columnar format Spark knows."""
     if fmt == "csv":
-        return conform(read_raw(spark, name, path), name)
+        return conform(read_raw(spark, name, path, multi_line), name)
     stored = spark.read.format(fmt).load(path)
     return stored.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name]])
 

@@ -37,6 +37,40 @@ def test_wrong_header_is_an_error(spark, tmp_path):
         tables.read_table(spark, "dim_products", str(path)).collect()
 
 
+ODD = ['6" pipe, steel', 'a "quoted" name', "comma, only", 'ends with "', "back\\slash", "two\nlines"]
+
+
+def test_quotes_written_by_other_tools(spark, tmp_path):
+    import csv
+
+    path = tmp_path / "dim_products.csv"
+    with open(path, "w", newline="") as f:
+        out = csv.writer(f)
+        out.writerow(schemas.PRODUCTS.names)
+        out.writerows([i, text, "c", "s", "1.00", "2.00"] for i, text in enumerate(ODD))
+    got = tables.read_table(spark, "dim_products", str(path), multi_line=True)
+    assert [r.product_name for r in got.orderBy("product_id").collect()] == ODD
+
+
+def test_quotes_read_by_other_tools(spark, tmp_path):
+    import csv
+
+    rows = [{"product_id": i, "product_name": text} for i, text in enumerate(ODD)]
+    sinks.write_csv(products(spark, *rows).coalesce(1), str(tmp_path / "out"))
+    (part,) = (tmp_path / "out").glob("part-*.csv")
+    with open(part, newline="") as f:
+        assert [r["product_name"] for r in csv.DictReader(f)] == ODD
+    back = tables.read_table(spark, "dim_products", str(tmp_path / "out"), multi_line=True)
+    assert [r.product_name for r in back.orderBy("product_id").collect()] == ODD
+
+
+def test_wrong_number_of_fields_is_an_error(spark, tmp_path):
+    path = tmp_path / "dim_products.csv"
+    path.write_text(",".join(schemas.PRODUCTS.names) + "\n1,a,b,c,1,2,3\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        tables.read_table(spark, "dim_products", str(path)).collect()
+
+
 def test_missing_table(spark, tmp_path):
     assert tables.read_if_exists(spark, "fact_orders", str(tmp_path / "none")) is None
 
@@ -100,13 +134,16 @@ def test_star_refresh_order(spark):
 
 
 def test_database_options():
-    plain = databases.read_options("jdbc:x", "SELECT 1")
+    plain = databases.read_options("jdbc:x", "SELECT 1", single_task=True)
+    with pytest.raises(ValueError, match="single task"):
+        databases.read_options("jdbc:x", "SELECT 1")
     assert plain["dbtable"] == "(SELECT 1) source_query" and "numPartitions" not in plain
     split = databases.read_options("jdbc:x", "SELECT 1", "id", (1, 9), 4)
     assert (split["partitionColumn"], split["lowerBound"], split["numPartitions"]) == ("id", "1", "4")
     with pytest.raises(ValueError):
         databases.read_options("jdbc:x", "SELECT 1", "id")
     assert databases.write_options("jdbc:x", "t")["truncate"] == "true"
+    assert databases.write_options("jdbc:x", "t", connections=5)["numPartitions"] == "5"
 
 
 def test_named_views(spark):
