@@ -3,29 +3,26 @@
 Anything read by more than one job (order-statistic rounds, two sinks fed by one
 cleaning pass) is written once to the cluster's shared scratch folder and read
 back as Parquet, so later jobs scan only the columns they need and a lost
-executor costs a re-read, not a re-computation. The folder is scratch space: what a
-finished run left there may be removed.
+executor costs a re-read, not a re-computation. The folder is `spark.checkpoint.dir`,
+or one beside the warehouse where that is unset. It is scratch space: what a finished
+run left there may be removed.
 """
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Shared scratch folder: `spark.checkpoint.dir`, or a temporary one in local mode."""
+    """Shared scratch folder: `spark.checkpoint.dir`, else `_scratch` in the shared warehouse."""
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if current is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        current = tempfile.mkdtemp(prefix="stockweave-")
-        atexit.register(shutil.rmtree, current, ignore_errors=True)
+        current = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return current
@@ -37,7 +34,28 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def durable(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the scratch folder once and return a scan of what was written."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _stored(df, scratch_path(df.sparkSession, label))
+
+
+@contextmanager
+def scratch_copy(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """As `durable`, for use inside the block only: the copy is removed at its end."""
+    path = scratch_path(df.sparkSession, label)
+    try:
+        yield _stored(df, path)
+    finally:
+        remove(df.sparkSession, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the scratch space, in whatever store it is."""
+    if not path.startswith(scratch_dir(spark).rstrip("/") + "/"):
+        raise ValueError("not in the scratch folder")
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

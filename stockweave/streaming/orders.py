@@ -8,17 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from stockweave.durable import scratch_copy
 from stockweave.operators.cleaning import (
     MISSING_CUSTOMER,
     ORDER_KEY,
     accepted,
     normalise_types,
-    parse_dates,
     reject_reason,
     rejected,
 )
 from stockweave.schemas import ORDERS
 
+MALFORMED = "malformed"
+BAD_DATE = "bad_date"
+STRICT_DATES = ("order_date", "delivery_date")
 
 
 def _is_date(field) -> bool:
@@ -42,36 +45,66 @@ def encode_orders(df: DataFrame) -> DataFrame:
     )
 
 
-def decode_orders(messages: DataFrame) -> DataFrame:
-    """Order columns of JSON messages in `value` (text or bytes).
+def decode_feed(messages: DataFrame) -> DataFrame:
+    """Order columns of JSON messages in `value` (text or bytes), the message itself as
+    `message`, and why it can't be read as `unreadable`, null if it can.
 
-    Dates stay strict or lenient as in batch cleaning. A message that is not valid JSON
-    carries no order and is dropped.
+    A message that is not a JSON object is `malformed`; one with text that is no date where a
+    date must be is `bad_date`. An unreadable ship date is a missing one, as in batch cleaning.
     """
+    text = F.col("value").cast("string")
     decoded = F.from_json(
-        F.col("value").cast("string"), f"{_MESSAGE}, _bad string",
-        {"columnNameOfCorruptRecord": "_bad"},
+        text, f"{_MESSAGE}, _bad string", {"columnNameOfCorruptRecord": "_bad"}
     )
-    return parse_dates(
-        messages.select(decoded.alias("order"))
-        .filter(F.col("order").isNotNull() & F.col("order._bad").isNull())
-        .select(*[F.col("order")[name].alias(name) for name in ORDERS.names])
+    opened = messages.select(text.alias("message"), decoded.alias("order"))
+    fields, wrong = [], F.lit(False)
+    for f in ORDERS:
+        value = F.col("order")[f.name]
+        if _is_date(f):
+            day = value.try_cast("date")
+            if f.name in STRICT_DATES:
+                wrong = wrong | (value.isNotNull() & day.isNull())
+            value = day
+        fields.append(value.alias(f.name))
+    broken = F.col("order").isNull() | F.col("order._bad").isNotNull()
+    reason = F.when(broken, MALFORMED).when(wrong, BAD_DATE)
+    return opened.select(*fields, "message", reason.alias("unreadable"))
+
+
+def decode_orders(messages: DataFrame) -> DataFrame:
+    """Order columns of the readable messages."""
+    return readable(decode_feed(messages))
+
+
+def readable(feed: DataFrame) -> DataFrame:
+    return feed.filter(F.col("unreadable").isNull()).drop("message", "unreadable")
+
+
+def rejects(feed: DataFrame) -> DataFrame:
+    """(reason, message) of what could not be read."""
+    return feed.filter(F.col("unreadable").isNotNull()).select(
+        F.col("unreadable").alias("reason"), "message"
     )
 
 
 def classify_order_stream(orders: DataFrame, delay: str = "30 days") -> DataFrame:
-    """Batch cleaning on a stream: the first copy of an order line counts, and gets the
-    `reject_reason` of the row rules, null if it passes.
+    """Batch cleaning on a stream: the first copy of an order line to arrive counts, and gets
+    the `reject_reason` of the row rules, null if it passes.
 
-    State holds one entry per order line for `delay` past its order date; a replay that
-    comes later than the watermark is dropped as late. Dates have day precision, so the
-    delay is in days.
+    Copies are told by the time they arrive at, so no order is late however old it is. State
+    holds one entry per order line for `delay` after its arrival; a copy that is sent again
+    later than that counts as new. Unreadable messages of a decoded feed pass as they are,
+    each with a key of its own.
     """
+    keys = [ORDER_KEY]
+    if "unreadable" in orders.columns:
+        own = F.when(F.col("unreadable").isNotNull(), F.expr("uuid()"))
+        orders, keys = orders.withColumn("_own", own), [ORDER_KEY, "_own"]
     first = (
-        orders.withColumn("event_time", F.col("order_date").cast("timestamp"))
-        .withWatermark("event_time", delay)
-        .dropDuplicatesWithinWatermark([ORDER_KEY])
-        .drop("event_time")
+        orders.withColumn("_arrived", F.current_timestamp())
+        .withWatermark("_arrived", delay)
+        .dropDuplicatesWithinWatermark(keys)
+        .drop("_arrived", "_own")
     )
     return normalise_types(first).withColumn("reject_reason", reject_reason())
 
@@ -81,24 +114,35 @@ def clean_order_stream(orders: DataFrame, delay: str = "30 days") -> DataFrame:
 
 
 def load_order_stream(
-    orders: DataFrame, clean: str, quarantine: str, checkpoint: str, delay: str = "30 days"
+    feed: DataFrame,
+    clean: str,
+    quarantine: str,
+    checkpoint: str,
+    delay: str = "30 days",
+    rejected_to: str | None = None,
 ) -> StreamingQuery:
-    """Clean the stream into one folder and orders without a customer into another.
+    """Clean the stream into one folder, orders without a customer into another, and, for a
+    feed of `decode_feed`, unreadable messages with their reason into a third.
 
     Each batch owns a partition that it replaces, so a batch that runs again after a
-    failure does not repeat rows.
+    failure does not repeat rows. The batch is written to shared scratch space once, read
+    from there by all outputs, and removed when they are done.
     """
+    if ("unreadable" in feed.columns) != (rejected_to is not None):
+        raise ValueError("a decoded feed needs a place for its rejects, and only such a feed")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        for rows, path in (
-            (accepted(batch), clean),
-            (rejected(batch, MISSING_CUSTOMER), quarantine),
-        ):
-            rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        batch.unpersist()
-
-    return drain_batches(classify_order_stream(orders, delay), write, checkpoint, mode="append")
+        with scratch_copy(batch, "orders-batch") as stored:
+            orders, outputs = stored, []
+            if rejected_to is not None:
+                outputs.append((rejects(stored), rejected_to))
+                orders = readable(stored)
+            outputs.append((accepted(orders), clean))
+            outputs.append((rejected(orders, MISSING_CUSTOMER), quarantine))
+            for rows, path in outputs:
+                rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return drain_batches(classify_order_stream(feed, delay), write, checkpoint, mode="append")
 
 
 def running_count(orders: DataFrame) -> DataFrame:

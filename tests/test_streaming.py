@@ -87,17 +87,66 @@ def test_load_splits_the_stream(spark, tmp_path):
     assert ids(spark.read.parquet(quarantine)) == [2]
 
 
-def test_rows_behind_the_watermark_drop(spark, tmp_path):
+def test_old_orders_are_not_late(spark, tmp_path):
     folder, out, offsets = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "offsets")
 
     def run():
-        feed.drain(feed.clean_order_stream(opened(spark, folder), "30 days"), out, offsets)
+        feed.drain(feed.clean_order_stream(opened(spark, folder), "1 day"), out, offsets)
 
     append(folder, message(order_date="2024-06-01", delivery_date="2024-06-02"))
     run()
-    append(folder, message(order_line_id=8, order_date="2024-01-01"), message(order_line_id=9, order_date="2024-05-20"))
+    append(folder, message(order_line_id=8, order_date="1994-01-01"), message(order_line_id=9))
     run()
-    assert ids(spark.read.parquet(out)) == [1, 9]
+    assert ids(spark.read.parquet(out)) == [1, 8, 9]
+
+
+def test_every_message_ends_somewhere(spark, tmp_path):
+    """Three batches of one file each; conflicting copies, dirty rows and unreadable messages."""
+    folder = tmp_path / "in"
+    names = ("clean", "quarantine", "rejects", "offsets")
+    clean, quarantine, rejects, offsets = (str(tmp_path / n) for n in names)
+    append(folder, message(), message(order_line_id=2, customer_id=None), "{broken", "{broken")
+    append(folder, message(quantity=99), message(order_line_id=3, order_date="31.02.2024"), "[]")
+    append(
+        folder,
+        message(order_line_id=4, order_date="1990-05-05", ship_date="soon"),
+        message(order_line_id=5, quantity=0),
+        message(order_line_id=2),
+    )
+    stream = feed.decode_feed(read_order_stream(spark, "text", per_batch=1, path=str(folder)))
+    feed.load_order_stream(stream, clean, quarantine, offsets, "1 day", rejects)
+    kept = spark.read.parquet(clean)
+    assert ids(kept) == [1, 4] and ids(spark.read.parquet(quarantine)) == [2]
+    assert kept.filter("order_line_id = 1").first().quantity == 4
+    bad = spark.read.parquet(rejects)
+    assert sorted(r.reason for r in bad.collect()) == ["bad_date", "malformed", "malformed", "malformed"]
+    assert bad.filter("reason = 'bad_date'").first().message == message(
+        order_line_id=3, order_date="31.02.2024"
+    )
+    rule_drops, duplicates, messages = 1, 2, 10
+    stored = kept.count() + spark.read.parquet(quarantine).count() + bad.count()
+    assert stored + rule_drops + duplicates == messages
+    assert {r.batch for r in kept.select("batch").collect()} == {0, 2}
+
+
+def test_rejects_need_a_place(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    stream = feed.decode_feed(read_order_stream(spark, "text", path=str(tmp_path / "in")))
+    with pytest.raises(ValueError, match="rejects"):
+        feed.load_order_stream(stream, "a", "b", "c")
+
+
+def test_scratch_copies_are_removed(spark):
+    from stockweave import durable
+
+    with pytest.raises(RuntimeError), durable.scratch_copy(spark.range(3), "gone") as copy:
+        path = copy.inputFiles()[0].rsplit("/", 1)[0]
+        assert copy.count() == 3
+        raise RuntimeError
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError, match="scratch"):
+        durable.remove(spark, "/somewhere/else")
 
 
 def test_stream_equals_batch(spark, small, tmp_path):
