@@ -1,11 +1,13 @@
+import math
 from decimal import Decimal
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from helpers import inventory, products
-from stockweave.operators.inventory import inventory_rebalancing, transfer_sides
+from stockweave.operators.inventory import inventory_rebalancing, leading_pairs, transfer_sides
 
 
 def brute_force(stock, costs, limit):
@@ -83,21 +85,35 @@ def test_several_snapshots_never_pair_a_warehouse_with_itself(spark):
     check(spark, stock, {1: Decimal("1.00")}, 4)
 
 
-def test_negative_cost_is_an_error(spark):
-    with pytest.raises(Exception, match="must not be negative"):
-        run(spark, [(1, 1, 100, 10), (1, 2, 0, 10)], {1: Decimal("-1.00")}, 3)
+def test_negative_costs_come_after_zero_and_before_missing(spark):
+    stock = [(p, 1, 100, 10) for p in (1, 2, 3)] + [(p, w, 1, 10 + w) for p in (1, 2, 3) for w in (2, 3)]
+    costs = {1: None, 2: Decimal("-1.00"), 3: Decimal("0.00")}
+    check(spark, stock, costs, 5)
+    assert [r[0] for r in run(spark, stock, costs, 10)] == [3, 3, 2, 2, 1, 1]
 
 
-@pytest.mark.parametrize("limit", [0, 501])
-def test_limit_is_bounded(spark, limit):
+def test_limit_is_positive(spark):
     with pytest.raises(ValueError):
-        run(spark, [(1, 1, 100, 10)], {1: Decimal("1.00")}, limit)
+        run(spark, [(1, 1, 100, 10)], {1: Decimal("1.00")}, 0)
+
+
+def test_few_pairs_are_formed(spark):
+    """One product with 400 sources and 400 destinations has 160,000 transfers."""
+    stock = [(1, w, 500 + w, 20) for w in range(400)] + [(1, 1000 + w, 0, 40 + w) for w in range(400)]
+    inv = inventory(
+        spark,
+        *[dict(product_id=p, warehouse_id=w, quantity_on_hand=q, reorder_point=r) for p, w, q, r in stock],
+    )
+    sides = transfer_sides(inv).withColumn("cost_price", F.lit(Decimal("1.00")))
+    for limit in (100, 400):
+        assert leading_pairs(sides, limit).count() < limit * (math.log(limit) + 6)
+    check(spark, stock, {1: Decimal("1.00")}, 150)
 
 
 _ROW = st.tuples(
     st.integers(1, 3), st.integers(1, 5), st.one_of(st.none(), st.integers(0, 60)), st.integers(5, 40)
 )
-_COST = st.sampled_from([None, Decimal("0.00"), Decimal("1.00"), Decimal("2.00"), Decimal("7.25")])
+_COST = st.sampled_from([None, Decimal("-3.00"), Decimal("0.00"), Decimal("1.00"), Decimal("2.00"), Decimal("7.25")])
 
 
 @settings(max_examples=12, deadline=None)
