@@ -32,6 +32,7 @@ HEADLINE = (
     "forecast_report",
     "dq_report",
     "order_stream_clean",
+    "demand_forecast",
     "churn_scores",
     "anomaly_orders",
 )

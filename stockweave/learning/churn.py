@@ -26,6 +26,18 @@ FEATURES = (
 )
 
 
+def complete_features(features: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(features without nulls, one row with the number of nulls filled per feature).
+
+    A customer whose totals are all missing has no known spend: 0 stands for it.
+    """
+    counts = features.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in FEATURES])
+    filled = features.withColumns(
+        {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in FEATURES}
+    )
+    return filled, counts
+
+
 def train_churn(
     train: DataFrame, num_trees: int = 100, max_depth: int = 10, seed: int = 42
 ) -> PipelineModel:
@@ -57,7 +69,8 @@ def churn_scores(
     features: DataFrame, as_of: dt.date | None = None, **training
 ) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """(model, scores of all customers, accuracy on the held-out ones)."""
-    split = durable(hash_split(features, ["customer_id"]), "churn-features")
+    ready = complete_features(features)[0]
+    split = durable(hash_split(ready, ["customer_id"]), "churn-features")
     model = train_churn(split.filter(~F.col("is_test")), **training)
     tested = model.transform(split.filter("is_test"))
     return (

@@ -23,7 +23,8 @@ def split_features(
     features: DataFrame, keys: Sequence[str] = DEFAULT_KEYS
 ) -> tuple[DataFrame, DataFrame]:
     """(training rows, held-out rows), from features that are computed once: training
-    passes over them many times."""
+    passes over them many times. Rows without one of the keys belong to no cell and stay out."""
+    features = features.na.drop("any", subset=[*keys])
     split = durable(hash_split(features, [*keys, "year", "month"]), "demand-features")
     return split.filter(~F.col("is_test")), split.filter("is_test")
 

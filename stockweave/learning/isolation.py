@@ -32,7 +32,6 @@ SCORE_STEPS = 10**9  # scores are kept to nine decimals
 cloudpickle.register_pickle_by_value(tree_arrays)
 
 _TREE = "tree int, feature array<int>, cut array<double>, path array<double>"
-_HASH_RANGE = 1 << 20
 
 
 @dataclass
@@ -42,17 +41,19 @@ class IsolationForest:
     trees: DataFrame  # one row per tree
 
     def save(self, path: str) -> None:
-        self.trees.select("*", F.lit(self.sample_size).alias("sample_size")).write.mode(
-            "overwrite"
-        ).parquet(path)
+        self.trees.select(
+            "*",
+            F.lit(self.sample_size).alias("sample_size"),
+            F.array(*[F.lit(f) for f in self.features]).alias("features"),
+        ).write.mode("overwrite").parquet(path)
 
     @classmethod
-    def load(
-        cls, spark: SparkSession, path: str, features: Sequence[str] = FEATURES
-    ) -> IsolationForest:
+    def load(cls, spark: SparkSession, path: str) -> IsolationForest:
         stored = spark.read.parquet(path)
-        size = stored.agg(F.max("sample_size")).first()[0]
-        return cls(tuple(features), size, stored.drop("sample_size"))
+        one = stored.select("sample_size", "features").first()
+        return cls(
+            tuple(one["features"]), one["sample_size"], stored.drop("sample_size", "features")
+        )
 
     def score(self, df: DataFrame) -> DataFrame:
         """Add the isolation score of every row: near 1 for rows that are easily isolated."""
@@ -84,34 +85,40 @@ def fit_forest(
 ) -> IsolationForest:
     """Grow `trees` trees from `sample_size` random rows each.
 
-    Rows are first thinned to a pool twice the size of all samples together, by position
-    and not by content, so that copies are thinned like any other rows. Only the pool, not
-    the table, is then offered to every tree.
+    A tree takes the rows with the smallest hashes of the tree's number and all columns of
+    the row, so the draw depends on the rows alone and not on how they are spread, and all rows
+    take part at every size. Hashes that are too large to be among the smallest are left
+    out before rows are sorted; should a tree lack rows then, they are all sorted.
     """
-    numeric = df.select(*[F.col(c).cast("double").alias(c) for c in features]).na.drop("any")
-    wanted = 2 * trees * sample_size
-    fraction = min(1.0, wanted / max(1, df.count()))
-    pool = durable(
-        (numeric if fraction == 1.0 else numeric.sample(fraction, seed)).withColumn(
-            "row", F.monotonically_increasing_id()
-        ),
-        "forest-pool",
-    )
-    rows = pool.count()
+    numeric = df.select(
+        F.xxhash64(*df.columns, F.lit(seed)).alias("row"),
+        *[F.col(c).cast("double").alias(c) for c in features],
+    ).na.drop("any", subset=[*features])
+    names = list(features)
+    rows = numeric.count()
     size = min(sample_size, rows)
-    # each tree is offered about two samples' worth, or everything where that is little
-    share = 2 * size / rows if rows > 4 * size else 1.0
-    offered = (
-        pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("draw", F.xxhash64("row", "tree", F.lit(seed)))
-        .filter(F.pmod("draw", F.lit(_HASH_RANGE)) < int(share * _HASH_RANGE))
-    )
-    samples = head_of_groups(offered, ["tree"], [F.col("draw"), F.col("row")], size)
+    numbers = F.sequence(F.lit(0), F.lit(trees - 1))
+
+    def drawn(share: float) -> DataFrame:
+        last = F.lit(int(-(2.0**63) + share * 2.0**64)) if share < 1 else F.lit((1 << 63) - 1)
+        draws = F.transform(
+            numbers, lambda t: F.struct(t.alias("tree"), F.xxhash64("row", t).alias("draw"))
+        )
+        offered = numeric.withColumn("one", F.explode(F.filter(draws, lambda d: d["draw"] <= last)))
+        order = [F.col("draw"), F.col("row"), *[F.col(c) for c in names]]
+        return head_of_groups(
+            offered.select("one.*", "row", *names), ["tree"], order, size
+        )
+
+    # four times the expected number: fewer than `size` is all but impossible
+    share = min(1.0, 4 * size / rows + 64 / rows) if rows else 1.0
+    samples = durable(drawn(share), "forest-samples")
+    if samples.count() < size * trees:
+        samples = drawn(1.0)
     depth = max(1, math.ceil(math.log2(max(2, size))))
-    names = list(features)
 
     def grow(key: tuple, sample: pd.DataFrame) -> pd.DataFrame:
-        ordered = sample.sort_values(["draw", "row"])
+        ordered = sample.sort_values(["draw", "row", *names])
         rng = np.random.default_rng([seed, int(key[0])])
         feature, cut, path = grow_tree(ordered[names].to_numpy(dtype=float), depth, rng)
         return pd.DataFrame(

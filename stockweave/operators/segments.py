@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockweave.functions.scalar import (
@@ -105,15 +105,8 @@ def churn_score_rows(
 
 
 def segment_counts(df: DataFrame, column: str) -> DataFrame:
-    """Rows and percentage of each value; the window spans one row per value."""
-    everything = Window.partitionBy(F.lit(0))
-    return (
-        df.groupBy(F.col(column).alias("segment"))
-        .agg(F.count("*").alias("row_count"))
-        .withColumn(
-            "share_pct",
-            round_half_up(
-                ratio(F.col("row_count") * F.lit(100.0), F.sum("row_count").over(everything))
-            ),
-        )
-    )
+    """Rows and percentage of each value."""
+    counts = df.groupBy(F.col(column).alias("segment")).agg(F.count("*").alias("row_count"))
+    total = counts.agg(F.sum("row_count").alias("n")).scalar()
+    share = ratio(F.col("row_count") * F.lit(100.0), total)
+    return counts.withColumn("share_pct", round_half_up(share))

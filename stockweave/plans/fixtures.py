@@ -155,7 +155,7 @@ def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 def demand_orders(
     spark: SparkSession, sf_dir: str, orders: DataFrame | None = None
 ) -> DataFrame:
-    """Sold order lines at a grain with enough history: brand and region in place of
+    """Order lines at a grain with enough history: brand and region in place of
     product and warehouse."""
     orders = raw_orders(spark, sf_dir) if orders is None else orders
     brand = _scan(spark, sf_dir, "part").selectExpr(
@@ -166,11 +166,7 @@ def demand_orders(
         .join(_scan(spark, sf_dir, "nation"), _on("s_nationkey", "n_nationkey"))
         .selectExpr("s_suppkey AS warehouse_id", "CAST(n_regionkey AS BIGINT) AS region_id")
     )
-    return (
-        orders.filter("quantity > 0")
-        .join(brand, "product_id")
-        .join(region, "warehouse_id")
-    )
+    return orders.join(brand, "product_id").join(region, "warehouse_id")
 
 
 DEMAND_KEYS = ("brand_id", "region_id")

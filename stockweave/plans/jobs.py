@@ -6,16 +6,19 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stockweave.durable import durable
 from stockweave.learning.churn import churn_scores
 from stockweave.learning.demand import demand_forecast
 from stockweave.learning.isolation import INPUTS, anomalies, detect_anomalies
-from stockweave.operators import cleaning, gold, reports, staging
+from stockweave.operators import cleaning, gold, quality, reports, staging
 from stockweave.operators.cleaning import MISSING_CUSTOMER
 from stockweave.operators.demand import DEFAULT_KEYS, demand_features
-from stockweave.operators.segments import churn_features
-from stockweave.schemas import DIMENSIONS, FACTS
+from stockweave.operators.inventory import inventory_rebalancing
+from stockweave.operators.segments import churn_features, rfm_segmentation
+from stockweave.operators.warehouses import warehouse_scoring
+from stockweave.schemas import DIMENSIONS, FACTS, TABLES
 from stockweave.sources.sinks import (
     Warehouse,
     full_refresh,
@@ -27,6 +30,7 @@ from stockweave.sources.sinks import (
     write_quarantine,
 )
 from stockweave.sources.tables import (
+    CSV,
     conform,
     if_exists,
     read_if_exists,
@@ -46,8 +50,8 @@ def run_etl(
 ) -> dict[str, DataFrame]:
     """Clean the five tables and load them; orders without a customer go to quarantine.
 
-    Duplicates are resolved once: the clean table and the quarantine read that result.
-    Returns what was loaded.
+    Duplicates are resolved once: the clean table and the quarantine read that result. The
+    audit counts of the run are stored as `cleaning_audit`. Returns what was loaded.
     """
     classified = durable(cleaning.classify_orders(raw["fact_orders"], order), "classified")
     write_quarantine(
@@ -63,7 +67,15 @@ def run_etl(
         "fact_inventory": cleaning.clean_inventory(raw["fact_inventory"]),
     }
     refresh_star_schema(loaded, warehouse)
-    return loaded
+    audit = cleaning.cleaning_report(
+        raw["fact_orders"],
+        raw["dim_customers"],
+        raw["dim_products"],
+        raw["fact_inventory"],
+        order,
+    )
+    warehouse.replace(audit, "cleaning_audit")
+    return {**loaded, "cleaning_audit": audit}
 
 
 def store_bronze(spark: SparkSession, raw_dir: str, lake: str) -> None:
@@ -104,13 +116,13 @@ def run_medallion(
 ) -> None:
     """Bronze, silver and gold layers under `lake`.
 
-    The input text is parsed once, into bronze; later layers scan the columns they need from
-    there. Gold is computed from raw orders unless `gold_from="silver"`. Model extracts are
-    copied to gold if they exist.
+    Bronze holds the text as it came. It is parsed once, into a typed copy in scratch space
+    that silver and gold scan, so filters and columns reach the scan. Gold is computed from
+    raw orders unless `gold_from="silver"`. Model extracts are copied to gold if they exist.
     """
     store_bronze(spark, raw_dir, lake)
     raw = {
-        name: conform(spark.read.parquet(f"{lake}/bronze/{name}"), name)
+        name: durable(conform(spark.read.parquet(f"{lake}/bronze/{name}"), name), f"typed-{name}")
         for name in (*DIMENSIONS, *FACTS)
     }
     for name, df in silver_tables(raw, order).items():
@@ -139,8 +151,9 @@ def run_marts(
     warehouse: Warehouse | None = None,
     unknown_email: str = cleaning.UNKNOWN_EMAIL,
 ) -> dict[str, DataFrame]:
-    """Staging models as views and the customer mart as a view, or as a table where a
-    warehouse is given. All of them are known to SQL by name afterwards."""
+    """Staging models as views; the customer mart and the report of the data-quality checks
+    as views, or as tables where a warehouse is given. All of them are known to SQL by name
+    afterwards."""
     models = {
         "stg_orders": staging.stg_orders(tables["fact_orders"]),
         "stg_customers": staging.stg_customers(tables["dim_customers"], as_of, unknown_email),
@@ -148,12 +161,27 @@ def run_marts(
     models["customer_summary"] = staging.customer_summary(
         models["stg_orders"], models["stg_customers"], as_of
     )
+    models["dq_report"] = quality.dq_report(models["stg_orders"], models["stg_customers"])
     register_views({**tables, **models})
     if warehouse:
-        full_refresh(models["customer_summary"], "customer_summary", warehouse)
+        for name in ("customer_summary", "dq_report"):
+            full_refresh(models[name], name, warehouse)
     return models
 
 
+def run_procedures(
+    tables: Tables, warehouse: Warehouse, as_of: dt.date | None = None, limit: int = 100
+) -> None:
+    """Customer segments, stock transfers and warehouse scores as warehouse tables."""
+    orders = tables["fact_orders"]
+    warehouse.replace(rfm_segmentation(orders, as_of), "rfm_segments")
+    warehouse.replace(
+        inventory_rebalancing(tables["fact_inventory"], tables["dim_products"], limit),
+        "inventory_transfers",
+    )
+    warehouse.replace(warehouse_scoring(tables["dim_warehouses"], orders), "warehouse_scores")
+
+
 def run_warehouse_load(
     raw: Tables,
     warehouse: Warehouse,
@@ -172,11 +200,17 @@ def run_warehouse_load(
     )
     extracts = extracts or {}
     if "demand_forecast" in extracts:
-        warehouse.replace(
-            extracts["demand_forecast"].select(
-                "forecast_date", "predicted_demand", "model_name"
+        # an extract has names in place of ids: those columns stay null
+        found = extracts["demand_forecast"]
+        full_refresh(
+            found.select(
+                *[
+                    F.col(f.name) if f.name in found.columns else F.lit(None).alias(f.name)
+                    for f in TABLES["ml_demand_forecasts"]
+                ]
             ),
             "ml_demand_forecasts",
+            warehouse,
         )
     if "customer_analytics" in extracts:
         warehouse.replace(
@@ -224,7 +258,7 @@ def publish_files(
         "inventory_status",
         "anomaly_orders",
     ):
-        text = spark.read.option("header", True).csv(f"{extracts}/{name}")
+        text = spark.read.options(**CSV).csv(f"{extracts}/{name}")
         publish_zone(text, lake, "clean", name)
     for name in ("orders_no_customer", "anomaly_orders"):
         rows = if_exists(lambda name=name: spark.read.parquet(f"{quarantine}/quarantine/{name}"))

@@ -135,7 +135,7 @@ _VIEWS = {
     ),
     "known_orders": (
         ("raw_orders",),
-        "\n    SELECT * FROM raw_orders WHERE customer_id IS NOT NULL",
+        "\n    SELECT * FROM raw_orders",
     ),
     "rfm_base": (
         ("known_orders",),
@@ -150,9 +150,9 @@ _VIEWS = {
         ("rfm_base",),
         """
     SELECT customer_id, recency_days, frequency, monetary,
-      CAST(ntile(5) OVER (ORDER BY recency_days DESC NULLS LAST, customer_id) AS INT) AS r_score,
-      CAST(ntile(5) OVER (ORDER BY frequency NULLS FIRST, customer_id) AS INT) AS f_score,
-      CAST(ntile(5) OVER (ORDER BY monetary NULLS FIRST, customer_id) AS INT) AS m_score
+      CAST(ntile(5) OVER (ORDER BY recency_days DESC NULLS LAST, customer_id NULLS FIRST) AS INT) AS r_score,
+      CAST(ntile(5) OVER (ORDER BY frequency NULLS FIRST, customer_id NULLS FIRST) AS INT) AS f_score,
+      CAST(ntile(5) OVER (ORDER BY monetary NULLS FIRST, customer_id NULLS FIRST) AS INT) AS m_score
     FROM rfm_base""",
     ),
     "churn_features": (
@@ -190,8 +190,7 @@ _VIEWS = {
            CAST(n_regionkey AS BIGINT) AS region_id
     FROM raw_orders o JOIN part ON product_id = p_partkey
                       JOIN supplier ON warehouse_id = s_suppkey
-                      JOIN nation ON s_nationkey = n_nationkey
-    WHERE quantity > 0""",
+                      JOIN nation ON s_nationkey = n_nationkey""",
     ),
     "demand_cells": (
         ("demand_orders",),
@@ -349,7 +348,7 @@ WHERE quantity_on_hand IS NOT NULL""",
     )
 
 
-def _rebalancing(stock: str, costs: str) -> str:
+def _rebalancing(stock: str, costs: str, limit: int = 100) -> str:
     units = "LEAST(o.quantity_on_hand - o.reorder_point, u.reorder_point - u.quantity_on_hand)"
     status = (
         f"(SELECT *, {_STATUS} AS stock_status FROM {stock} WHERE quantity_on_hand IS NOT NULL)"
@@ -369,7 +368,7 @@ FROM (
   WHERE o.stock_status = 'Overstocked' AND u.stock_status = 'Understocked'
     AND o.warehouse_id <> u.warehouse_id) t
 ORDER BY savings DESC NULLS LAST, product_id, source_warehouse_id, dest_warehouse_id
-LIMIT 100""",
+LIMIT {limit}""",
         stock,
         costs,
     )
@@ -472,6 +471,90 @@ FROM_CLEAN = (
 )
 
 
+_REJECTS = """
+SELECT 'malformed' AS reason, '{broken ' || CAST(order_line_id AS VARCHAR) AS message
+FROM raw_orders WHERE order_line_id % 89 = 3
+UNION ALL
+SELECT 'bad_date', '{"order_line_id":' || CAST(order_line_id AS VARCHAR)
+       || ',"order_date":"31.02.2024"}'
+FROM raw_orders WHERE order_line_id % 97 = 5"""
+
+
+def _stored(sql: dict[str, str]) -> dict[str, str]:
+    """What the jobs store equals what the operators return."""
+    wide = """product_name || ' 6" wide, "best"' || chr(10) || 'second line, "' AS product_name"""
+    return {
+        "csv_scan_orders": _orders("raw_orders"),
+        "csv_quoted_products": with_views(
+            f"""
+SELECT product_id, {wide}, category, sub_category, CAST(cost_price AS DOUBLE) AS cost_price,
+       CAST(list_price AS DOUBLE) AS list_price FROM products""",
+            "products",
+        ),
+        "optional_tables": with_views(
+            """
+SELECT 'dim_customers' AS table_name, COUNT(*) AS stored_rows FROM customers
+UNION ALL SELECT 'dim_products', CAST(NULL AS BIGINT)""",
+            "customers",
+        ),
+        "layer_orders_by_month": with_views(
+            f"SELECT {_ORDER_COLUMNS}, strftime(order_date, '%Y-%m') AS month_key FROM raw_orders",
+            "raw_orders",
+        ),
+        "named_views": with_views(
+            """
+SELECT c.customer_id, NULLIF(COUNT(o.order_line_id), 0) AS total_orders,
+       COUNT(o.order_line_id) AS lines
+FROM stg_customers c LEFT JOIN stg_orders o ON c.customer_id = o.customer_id
+GROUP BY c.customer_id""",
+            "stg_customers",
+            "stg_orders",
+        ),
+        "stored_model": with_views(
+            "SELECT COUNT(DISTINCT customer_id) AS scored, CAST(0 AS BIGINT) AS changed"
+            " FROM raw_orders",
+            "raw_orders",
+        ),
+        "etl_fact_orders": sql["clean_orders"],
+        "etl_dim_customers": sql["clean_customers"],
+        "etl_quarantine": sql["quarantine_orders"],
+        "etl_audit": sql["cleaning_report"],
+        "bronze_orders": sql["scan_orders"],
+        "medallion_silver_orders": sql["silver_orders"],
+        "medallion_gold_monthly": sql["monthly_sales"],
+        "medallion_gold_from_silver": sql["monthly_sales_from_silver"],
+        "marts_customer_summary": sql["customer_summary"],
+        "export_executive_overview": sql["executive_overview"],
+        "load_churn_scores": with_views(
+            """
+SELECT customer_id, churn_probability, risk_segment, scored_date FROM rule_scores
+WHERE customer_id IN (SELECT customer_id FROM customers)
+  AND churn_probability IS NOT NULL AND risk_segment IS NOT NULL""",
+            "rule_scores",
+            "customers",
+        ),
+        "load_fact_orders": sql["silver_orders"],
+        "publish_raw_orders": sql["scan_orders"],
+        "demand_forecast_rows": with_views(
+            """
+SELECT brand_id, region_id, make_date(year, month, 1) AS forecast_date,
+       'boosted_trees' AS model_name
+FROM demand_features
+WHERE substring(md5(CAST(brand_id AS VARCHAR) || '|' || CAST(region_id AS VARCHAR) || '|'
+      || CAST(year AS VARCHAR) || '|' || CAST(month AS VARCHAR)), 1, 2) < '33'""",
+            "demand_features",
+        ),
+        "churn_score_contract": with_views(
+            """
+SELECT COUNT(DISTINCT customer_id) AS scored, COUNT(DISTINCT customer_id) AS customers,
+       CAST(0 AS BIGINT) AS not_probabilities, CAST(0 AS BIGINT) AS in_another_bin,
+       DATE '2001-08-02' AS scored_date
+FROM raw_orders""",
+            "raw_orders",
+        ),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {
         # sources and cleaning
@@ -578,6 +661,7 @@ JOIN warehouses w ON f.warehouse_id = w.warehouse_id""",
         "inventory_status": _inventory_status("raw_inventory"),
         "inventory_status_clean": _inventory_status("clean_inventory"),
         "inventory_rebalancing": _rebalancing("raw_inventory", "products"),
+        "inventory_rebalancing_top_1000": _rebalancing("raw_inventory", "products", 1000),
         "inventory_rebalancing_clean": _rebalancing("clean_inventory", "clean_products"),
         "warehouse_scoring": with_views(
             f"""
@@ -698,6 +782,8 @@ FROM raw_orders""",
         "order_stream_clean": _orders("passed"),
         "order_stream_quarantine": _orders("deduped", "WHERE customer_id IS NULL"),
     }
+    sql["order_stream_rejects"] = with_views(_REJECTS, "raw_orders")
+    sql |= _stored(sql)
     for name in FROM_CLEAN:
         sql[f"{name}_from_clean"] = _from_clean(sql[name])
     return sql

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -25,6 +26,7 @@ from stockweave.operators import (
     warehouses,
 )
 from stockweave.plans import fixtures as fx
+from stockweave.schemas import ORDERS
 from stockweave.sources.feeds import read_order_stream, write_messages
 from stockweave.streaming import orders as feed
 
@@ -58,11 +60,9 @@ def query(fn: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_REGISTRY)
-
+    from stockweave.plans import stored  # noqa: F401 - registers what runs whole jobs
 
-def known_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.raw_orders(spark, sf_dir).filter(F.col("customer_id").isNotNull())
+    return dict(_REGISTRY)
 
 
 # ---- sources and cleaning
@@ -253,7 +253,7 @@ def executive_overview(spark, sf_dir):
 
 def rule_scores(spark, sf_dir):
     """Score rows from a rule instead of a model: the idle share of the last year."""
-    features = segments.churn_features(known_orders(spark, sf_dir), AS_OF)
+    features = segments.churn_features(fx.raw_orders(spark, sf_dir), AS_OF)
     idle = F.least(F.col("recency_days").cast("double") / 365, F.lit(1.0))
     return segments.churn_score_rows(features, idle, AS_OF)
 
@@ -289,6 +289,13 @@ def inventory_rebalancing(spark, sf_dir):
     )
 
 
+@query
+def inventory_rebalancing_top_1000(spark, sf_dir):
+    return inventory.inventory_rebalancing(
+        fx.raw_inventory(spark, sf_dir), fx.products(spark, sf_dir), limit=1000
+    )
+
+
 @query
 def inventory_status_clean(spark, sf_dir):
     """Missing counts become 0 in cleaning and then read as understocked."""
@@ -318,22 +325,22 @@ def warehouse_scoring(spark, sf_dir):
 
 @query
 def rfm_base(spark, sf_dir):
-    return segments.rfm_base(known_orders(spark, sf_dir), AS_OF)
+    return segments.rfm_base(fx.raw_orders(spark, sf_dir), AS_OF)
 
 
 @query
 def rfm_scores(spark, sf_dir):
-    return segments.rfm_scores(segments.rfm_base(known_orders(spark, sf_dir), AS_OF))
+    return segments.rfm_scores(segments.rfm_base(fx.raw_orders(spark, sf_dir), AS_OF))
 
 
 @query
 def rfm_segmentation(spark, sf_dir):
-    return segments.rfm_segmentation(known_orders(spark, sf_dir), AS_OF)
+    return segments.rfm_segmentation(fx.raw_orders(spark, sf_dir), AS_OF)
 
 
 @query
 def churn_features(spark, sf_dir):
-    return segments.churn_features(known_orders(spark, sf_dir), AS_OF)
+    return segments.churn_features(fx.raw_orders(spark, sf_dir), AS_OF)
 
 
 @query
@@ -349,7 +356,7 @@ def segment_counts(spark, sf_dir):
 @query
 def classification_accuracy(spark, sf_dir):
     """Call a customer with fewer than 40 order lines churned."""
-    features = segments.churn_features(known_orders(spark, sf_dir), AS_OF)
+    features = segments.churn_features(fx.raw_orders(spark, sf_dir), AS_OF)
     guess = F.when(F.col("frequency") < 40, 1).otherwise(0)
     return evaluation.accuracy(features, "churned", guess)
 
@@ -524,31 +531,60 @@ def order_stream_count(spark, sf_dir):
     return spark.read.schema(counted.schema).parquet(out)
 
 
-def _replayed_feed(spark, sf_dir):
-    """A feed of distinct order lines whose returned lines are sent twice."""
-    lines = cleaning.dedupe_first(fx.raw_orders(spark, sf_dir), [cleaning.ORDER_KEY], FIRST)
-    replays = lines.filter(F.col("order_status") == "Returned")
-    return _published(spark, cleaning.with_replays(lines, replays))
+WAVE_FILES = 4
 
 
-# The delay covers the whole period, so that no replay counts as late.
-NEVER_LATE = "3650 days"
+def _raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as they come: first copies, second copies and further ones in three waves, with
+    messages among them that can't be read. A batch of the stream takes one wave."""
+    raw = fx.raw_orders(spark, sf_dir)
+    rest = [c for c in raw.columns if c not in FIRST and c != cleaning.ORDER_KEY]
+    copies = W.partitionBy(cleaning.ORDER_KEY).orderBy(*FIRST, *rest)
+    sent = raw.withColumn("wave", F.least(F.row_number().over(copies), F.lit(3)))
+    key = F.col(cleaning.ORDER_KEY)
+    broken = raw.filter(key % 89 == 3).select(F.concat(F.lit("{broken "), key).alias("value"))
+    undated = raw.filter(key % 97 == 5).select(
+        F.concat(
+            F.lit('{"order_line_id":'), key, F.lit(',"order_date":"31.02.2024"}')
+        ).alias("value")
+    )
+    topic = scratch_path(spark, "feed")
+    for wave in (1, 2, 3):
+        messages = feed.encode_orders(sent.filter(F.col("wave") == wave).drop("wave"))
+        if wave == 1:
+            messages = messages.select("value").unionAll(broken).unionAll(undated)
+        write_messages(messages.repartition(WAVE_FILES), topic, fmt="text", mode="append")
+    opened = read_order_stream(spark, "text", per_batch=WAVE_FILES, path=topic)
+    return feed.decode_feed(opened)
+
+
+def _loaded(spark, sf_dir) -> dict[str, str]:
+    """The streaming load over three batches: where its outputs are."""
+    out = {n: scratch_path(spark, n) for n in ("clean", "quarantine", "rejects", "offsets")}
+    feed.load_order_stream(
+        _raw_feed(spark, sf_dir),
+        out["clean"],
+        out["quarantine"],
+        out["offsets"],
+        "7 days",
+        out["rejects"],
+    )
+    return out
 
 
 @query
 def order_stream_clean(spark, sf_dir):
-    stream = feed.clean_order_stream(_replayed_feed(spark, sf_dir), NEVER_LATE)
-    return _drained(spark, stream)
+    return spark.read.parquet(_loaded(spark, sf_dir)["clean"]).select(*ORDERS.names)
 
 
 @query
 def order_stream_quarantine(spark, sf_dir):
-    """The streaming load: clean rows to one folder, quarantined rows to the one returned."""
-    stream = _replayed_feed(spark, sf_dir)
-    clean, quarantine = scratch_path(spark, "clean"), scratch_path(spark, "quarantine")
-    offsets = scratch_path(spark, "offsets")
-    feed.load_order_stream(stream, clean, quarantine, offsets, NEVER_LATE)
-    return spark.read.parquet(quarantine).select(*stream.columns)
+    return spark.read.parquet(_loaded(spark, sf_dir)["quarantine"]).select(*ORDERS.names)
+
+
+@query
+def order_stream_rejects(spark, sf_dir):
+    return spark.read.parquet(_loaded(spark, sf_dir)["rejects"]).drop("batch")
 
 
 # ---- models
@@ -562,14 +598,14 @@ def demand_forecast(spark, sf_dir):
 @query
 def churn_scores(spark, sf_dir):
     return churn.churn_scores(
-        segments.churn_features(known_orders(spark, sf_dir), AS_OF), AS_OF
+        segments.churn_features(fx.raw_orders(spark, sf_dir), AS_OF), AS_OF
     )[1]
 
 
 @query
 def churn_accuracy(spark, sf_dir):
     return churn.churn_scores(
-        segments.churn_features(known_orders(spark, sf_dir), AS_OF), AS_OF
+        segments.churn_features(fx.raw_orders(spark, sf_dir), AS_OF), AS_OF
     )[2]
 
 
@@ -590,4 +626,9 @@ def anomaly_counts(spark, sf_dir):
 
 @query
 def anomaly_sample(spark, sf_dir):
-    return isolation.anomalies(_detected(spark, sf_dir)).select(*isolation.FEATURES).limit(5)
+    """The five most isolated lines, in a total order."""
+    found = isolation.anomalies(_detected(spark, sf_dir))
+    rest = [c for c in found.columns if c != isolation.SCORE]
+    return (
+        found.orderBy(F.desc(isolation.SCORE), *rest).limit(5).select(*isolation.FEATURES)
+    )

@@ -31,14 +31,11 @@ def sized_for(input_bytes: int) -> dict[str, str]:
 
     Adaptive execution merges small shuffle partitions but never adds any except for skewed
     joins, so their number is set for the largest shuffle: about 1 GiB each at most, which
-    an executor core sorts with little spilling. Large inputs are also scanned in larger
-    splits to keep the number of tasks, and of map outputs, in the hundreds of thousands.
+    an executor core sorts with little spilling.
     """
-    partitions = min(max(200, input_bytes // GIB), 100_000)
-    split = "128m" if input_bytes < 10_000 * GIB else "512m"
     return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": split,
+        "spark.sql.shuffle.partitions": str(max(200, input_bytes // GIB)),
+        "spark.sql.files.maxPartitionBytes": "256m",
     }
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from helpers import orders
 
 from stockweave.learning import isolation as iso
-from stockweave.learning.churn import FEATURES, churn_scores
+from stockweave.learning.churn import FEATURES, churn_scores, complete_features
 from stockweave.learning.demand import demand_forecast
 from stockweave.operators.demand import demand_features
 from stockweave.plans import fixtures as fx
@@ -64,6 +64,21 @@ def test_copies_do_not_swamp_the_sample(spark, lines):
     assert forest.trees.count() == 5 and forest.sample_size == 64
 
 
+def test_sample_depends_on_the_rows_alone(spark, lines):
+    def flags(df):
+        found = iso.detect_anomalies(df, trees=8, sample_size=32)[1]
+        return {tuple(r) for r in found.drop(iso.SCORE).collect()}
+
+    assert flags(lines) == flags(lines.repartition(7)) == flags(lines.orderBy("order_line_id"))
+
+
+def test_saved_forest_knows_its_features(spark, lines, tmp_path):
+    forest = iso.fit_forest(lines, ("quantity", "unit_price"), trees=4, sample_size=16)
+    forest.save(str(tmp_path / "forest"))
+    again = iso.IsolationForest.load(spark, str(tmp_path / "forest"))
+    assert (again.features, again.sample_size) == (("quantity", "unit_price"), forest.sample_size)
+
+
 def test_tiny_and_empty_inputs(spark, lines):
     assert iso.detect_anomalies(lines.limit(3), trees=5)[1].count() == 3
     assert iso.detect_anomalies(lines.limit(0), trees=5)[1].count() == 0
@@ -74,10 +89,14 @@ def test_tiny_and_empty_inputs(spark, lines):
 
 
 def test_churn_model(spark, small):
-    from stockweave.plans.queries import known_orders
     from stockweave.operators.segments import churn_features
 
-    features = churn_features(known_orders(spark, small), fx.AS_OF)
+    features = churn_features(fx.raw_orders(spark, small), fx.AS_OF)
+    unknown = {c: F.lit(None).cast(features.schema[c].dataType) for c in ("monetary", "avg_order_value")}
+    hollow = features.limit(1).withColumns({"customer_id": F.lit(10**9).cast("long"), **unknown})
+    features = features.unionByName(hollow)
+    filled, counts = complete_features(features)
+    assert counts.first().monetary == 1 and filled.filter("monetary IS NULL").count() == 0
     assert "recency_days" not in FEATURES
     _, scores, hit = churn_scores(features, fx.AS_OF, num_trees=10, max_depth=4)
     assert scores.count() == features.count()
