@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 from decimal import Decimal
 
 import pytest
@@ -12,7 +13,10 @@ from stockweave.streaming import orders as feed
 
 def append(folder, *lines):
     folder.mkdir(exist_ok=True)
-    (folder / f"part-{len(list(folder.iterdir()))}.txt").write_text("\n".join(lines) + "\n")
+    number = len(list(folder.iterdir()))
+    path = folder / f"part-{number}.txt"
+    path.write_text("\n".join(lines) + "\n")
+    os.utime(path, (1.7e9 + number, 1.7e9 + number))  # files are taken by age
 
 
 def message(**changes):
