@@ -119,6 +119,12 @@ def test_command_line(spark, raw_dir, tmp_path):
     main(["etl", "--raw", raw_dir, "--warehouse", where["warehouse"], "--quarantine", where["quarantine"]], spark)
     main(["marts", "--warehouse", where["warehouse"], "--as-of", "2001-08-02"], spark)
     assert spark.read.parquet(f"{where['warehouse']}/customer_summary").count() == 150
+    assert spark.read.parquet(f"{where['warehouse']}/dq_report").count() == 8
+    assert spark.read.parquet(f"{where['warehouse']}/cleaning_audit").count() == 13
+    main(["procedures", "--warehouse", where["warehouse"], "--as-of", "2001-08-02", "--limit", "7"], spark)
+    assert spark.read.parquet(f"{where['warehouse']}/inventory_transfers").count() == 7
+    assert spark.read.parquet(f"{where['warehouse']}/warehouse_scores").count() > 0
+    assert spark.read.parquet(f"{where['warehouse']}/rfm_segments").count() > 0
 
     # stand-ins for what the model job leaves behind
     orders = spark.read.parquet(f"{where['warehouse']}/fact_orders")
@@ -137,3 +143,15 @@ def test_command_line(spark, raw_dir, tmp_path):
     assert spark.read.parquet(f"{where['cloud']}/ml_churn_scores").count() == 150
     main(["publish", "--raw", raw_dir, "--extracts", where["extracts"], "--quarantine", where["quarantine"], "--lake", where["lake"]], spark)
     assert len(os.listdir(f"{where['lake']}/clean")) == 5
+
+
+def test_stream_command(spark, small, tmp_path):
+    from stockweave.__main__ import main
+    from stockweave.sources.feeds import write_messages
+    from stockweave.streaming.orders import encode_orders
+
+    write_messages(encode_orders(fx.raw_orders(spark, small)), f"{tmp_path}/feed", fmt="text")
+    folders = [x for n in ("feed", "clean", "quarantine", "rejects", "checkpoint") for x in (f"--{n}", f"{tmp_path}/{n}")]
+    main(["stream", *folders, "--delay", "2 days"], spark)
+    assert spark.read.parquet(f"{tmp_path}/clean").count() > 0
+    assert spark.read.parquet(f"{tmp_path}/rejects").count() == 0

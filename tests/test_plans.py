@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from helpers import customers, orders, products, warehouses
+from helpers import customers, inventory, orders, products, warehouses
 from stockweave.operators import cleaning, demand, gold, reports, segments, staging
 from stockweave.operators.warehouses import warehouse_scoring
 
@@ -121,4 +121,15 @@ def test_sizes_follow_the_input():
     small, large = sized_for(10**9), sized_for(100 * 10**12)
     assert small["spark.sql.shuffle.partitions"] == "200"
     assert 90_000 < int(large["spark.sql.shuffle.partitions"]) <= 100_000
-    assert large["spark.sql.files.maxPartitionBytes"] == "512m"
+    assert large["spark.sql.files.maxPartitionBytes"] == "256m"
+
+
+def test_audit_scans_the_orders_once(spark, stored):
+    others = (customers(spark, {}), products(spark, {}), inventory(spark, {}))
+    text = plan(cleaning.cleaning_report(stored, *others))
+    assert text.count("FileScan") == 1 and "Window" not in text
+    assert text.index("partial_min") > text.index("Exchange hashpartitioning(order_line_id")
+
+
+def test_shares_need_no_window(stored):
+    assert "Window" not in plan(segments.segment_counts(stored, "order_status"))
