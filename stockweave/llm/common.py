@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 2 << 20  # of text handled at once, unless a single text is longer
+SLICE_BYTES = 1 << 19  # of text handled at once, unless a single text is longer
 
 # White space of the text operators: space, tab, line feed, vertical tab, form feed, return.
 SPACES = (32, 9, 10, 11, 12, 13)

@@ -41,15 +41,16 @@ _NONE = _U(0xFFFFFFFFFFFFFFFF)
 
 
 def _gram_hashes(raw: np.ndarray, gram: int) -> np.ndarray:
-    """A hash of the `gram` (8 to 24) bytes from each position that has so many after it."""
+    """A hash of the `gram` bytes, 8 or more, from each position that has so many after it."""
     x = raw.astype(_U)
     for step in (1, 2, 4):  # eight bytes from each position
         x = x[:-step] | (x[step:] << _U(8 * step))
     n = len(raw) - gram + 1
-    h = x[:n].copy()
+    h = mix(x[:n])
     for at in range(8, gram, 8):
-        h = mix(h) + x[min(at, gram - 8) :][:n]
-    return mix(h)
+        h += x[min(at, gram - 8) :][:n]
+        h = mix(h)
+    return h
 
 
 def segments(
@@ -85,7 +86,8 @@ def segments(
     ends = np.flatnonzero((begins[1:] | np.append(~inside[1:], True)) & inside) + length
     heads = np.concatenate([[0], np.cumsum(grams[:n] == low)])
     inner = heads[ends - length] > heads[starts]
-    return low[starts], starts, ends, np.searchsorted(borders, starts, "right") - 1, inner
+    # smallest hashes are small: spread them again
+    return mix(low[starts]), starts, ends, np.searchsorted(borders, starts, "right") - 1, inner
 
 
 FILTER_BITS = 27
@@ -118,10 +120,10 @@ def _repeated_keys(rows: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _filter_bits(keys: DataFrame) -> np.ndarray:
-    """A bit for each value of the keys' highest FILTER_BITS: set if such a key repeats.
+    """A bit for each value of the highest FILTER_BITS of `key`: set if such a key is there.
 
-    Of fixed size whatever the input: if most bits are set, more segments than needed are
-    compared, and none is missed.
+    Of fixed size whatever the input: if most bits are set, more rows than needed are looked
+    at, and none is missed.
     """
     places = keys.select(
         F.shiftrightunsigned("key", 64 - FILTER_BITS).alias("place")
@@ -141,6 +143,11 @@ def _filter_bits(keys: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
+def _is_set(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    place = (key >> _U(64 - FILTER_BITS)).astype(np.int64)
+    return (bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 > 0
+
+
 _OCCURRENCE = (
     "key long, a long, b long, doc long, tag long, start long, n long, inner boolean, bytes binary"
 )
@@ -155,8 +162,7 @@ def _occurrences(rows: DataFrame, bits, length: int, gram: int) -> DataFrame:
     def find(batch: pa.RecordBatch) -> pa.RecordBatch:
         raw, borders = utf8(batch.column("text"))
         key, start, end, of, inner = segments(raw, borders, length, gram)
-        place = (key >> _U(64 - FILTER_BITS)).astype(np.int64)
-        some = (bits.value[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 > 0
+        some = _is_set(bits.value, key)
         key, start, end, of, inner = (x[some] for x in (key, start, end, of, inner))
         a, b = (as_signed(span_hashes(raw, start, end, which)) for which in (0, 1))
         doc = batch.column("doc").to_numpy()[of]
@@ -185,14 +191,43 @@ def _occurrences(rows: DataFrame, bits, length: int, gram: int) -> DataFrame:
 _RUNS = "array<struct<from: long, to: long, doc: long, tag: long, shift: long>>"
 
 
+def _own_runs(contents: pa.Table) -> pa.RecordBatch:
+    """One run for each content: all its windows come first where it comes first."""
+    n = contents.num_rows
+    zero = pa.array(np.zeros(n, dtype=np.int64))
+    columns = [zero, *(_flat(contents, c, pa.int64()) for c in ("n", "doc", "tag", "start"))]
+    runs = pa.StructArray.from_arrays(columns, ["from", "to", "doc", "tag", "shift"])
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1), pa.int32()), runs)
+    a, b = (_flat(contents, c, pa.int64()) for c in ("a", "b"))
+    return pa.RecordBatch.from_arrays([a, b, lists], ["a", "b", "runs"])
+
+
+def _flat(table: pa.Table, name: str, kind: pa.DataType) -> pa.Array:
+    chunks = table.column(name).chunks
+    return pa.concat_arrays(chunks) if chunks else pa.array([], kind)
+
+
 def _sorted_shard(length: int):
-    """First places of the windows of a shard's contents, as runs of neighbouring windows."""
+    """First places of the windows of a shard's contents, as runs of neighbouring windows.
+
+    A shard holds all contents of its keys. A key's only content has nothing to be compared
+    with, unless its own windows may be equal.
+    """
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = pa.Table.from_batches(list(batches)) if batches else None
-        if whole is None or not whole.num_rows:
+        parts = [b for b in batches if b.num_rows]
+        if not parts:
+            return
+        whole = pa.Table.from_batches(parts).combine_chunks()
+        _, at, times = np.unique(
+            whole.column("key").to_numpy(), return_inverse=True, return_counts=True
+        )
+        inner = whole.column("inner").to_numpy(zero_copy_only=False)
+        alone = (times[at] == 1) & ~inner
+        yield _own_runs(whole.filter(pa.array(alone)))
+        whole = whole.filter(pa.array(~alone)).combine_chunks()
+        if not whole.num_rows:
             return
-        whole = whole.combine_chunks()
         raw, borders = utf8(whole.column("bytes").chunk(0))
         doc, tag, start = (whole.column(c).to_numpy() for c in ("doc", "tag", "start"))
         position, number = window_classes(raw, borders, length)
@@ -252,49 +287,27 @@ def repeated_spans(
     text: str = "text",
 ) -> DataFrame:
     """(doc, tag, spans): bytes covered by strings that start earlier too, as [from, to)."""
-    if not 8 <= gram <= min(24, length):
-        raise ValueError("strings of 8 to 24 bytes, not longer than the windows, are hashed")
+    if not 8 <= gram <= length:
+        raise ValueError("strings of 8 bytes or more, not longer than the windows, are hashed")
     spark = docs.sparkSession
     rows = _placed(docs, doc_id, text)
     bits = spark.sparkContext.broadcast(
         _filter_bits(durable(_repeated_keys(rows, length, gram), "keys"))
     )
     found = durable(_occurrences(rows, bits, length, gram), "occurrences")
-    contents = durable(
+    contents = (
         found.filter("bytes IS NOT NULL")
         .groupBy("key", "a", "b")
         .agg(F.min(F.struct("doc", "tag", "start", "n", "inner", "bytes")).alias("first"))
-        .select("key", "a", "b", "first.*"),
-        "contents",
+        .select("key", "a", "b", "first.*")
     )
-    # A key with a single content has nothing to be compared with, except within itself.
-    several = (
-        contents.groupBy("key")
-        .agg(F.count("*").alias("contents"), F.max("inner").alias("inner"))
-        .filter((F.col("contents") > 1) | F.col("inner"))
-        .select("key")
+    total = found.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+    runs = durable(
+        contents.repartition(max(1, -(-total // shard_bytes)), "key").mapInArrow(
+            _sorted_shard(length), f"a long, b long, runs {_RUNS}"
+        ),
+        "runs",
     )
-    to_sort = durable(contents.join(several, "key"), "to-sort")
-    total = to_sort.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
-    sorted_runs = (
-        to_sort.repartition(max(1, -(-total // shard_bytes)), "key")
-        .select("a", "b", "doc", "tag", "start", "bytes")
-        .mapInArrow(_sorted_shard(length), f"a long, b long, runs {_RUNS}")
-    )
-    alone = contents.join(several, "key", "left_anti").select(
-        "a",
-        "b",
-        F.array(
-            F.struct(
-                F.lit(0).cast("long").alias("from"),
-                F.col("n").alias("to"),
-                "doc",
-                "tag",
-                F.col("start").alias("shift"),
-            )
-        ).alias("runs"),
-    )
-    runs = durable(sorted_runs.unionAll(alone), "runs")
     place = F.struct("doc", "tag", "start")
     run = F.col("run")
     return (
@@ -355,12 +368,38 @@ def remove_repeats(
     text: str = "text",
 ) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row; `kept` bytes if asked."""
-    spans = repeated_spans(docs, length, gram, shard_bytes, doc_id, text)
-    joined = _placed(docs, doc_id, text).join(spans, ["doc", "tag"], "left")
+    spark = docs.sparkSession
+    spans = durable(
+        repeated_spans(docs, length, gram, shard_bytes, doc_id, text).withColumn(
+            "key", F.xxhash64("doc", "tag")
+        ),
+        "spans",
+    )
+    bits = spark.sparkContext.broadcast(_filter_bits(spans.select("key")))
+    rows = _placed(docs, doc_id, text).withColumn("key", F.xxhash64("doc", "tag"))
+    # only texts that may have spans travel to them
+    touched = rows.mapInArrow(
+        _chosen(bits, True), "doc long, tag long, text string, key long"
+    ).join(spans.drop("key"), ["doc", "tag"], "left")
+    others = rows.mapInArrow(_chosen(bits, False), "doc long, tag long, text string, key long")
     null = F.lit(-(1 << 63)).cast("long")
+    both = touched.select("doc", "text", "spans").unionAll(
+        others.select("doc", "text", F.lit(None).cast(spans.schema["spans"].dataType))
+    )
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return arrow_map(
-        joined.select(F.nullif("doc", null).alias("doc_id"), "text", "spans"),
+        both.select(F.nullif("doc", null).alias("doc_id"), "text", "spans"),
         _cut(with_text),
         schema + (", kept binary" if with_text else ""),
     )
+
+
+def _chosen(bits, wanted: bool):
+    """The rows whose key is in the filter, or those whose key isn't."""
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = batch.column("key").to_numpy().view(_U)
+            yield batch.filter(pa.array(_is_set(bits.value, key) == wanted))
+
+    return choose

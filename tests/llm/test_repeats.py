@@ -86,7 +86,7 @@ def test_removal_edges(docs_of):
         (2, b"some "),
     ]
     assert substrings.remove_repeats(docs_of([])).count() == 0
-    with pytest.raises(ValueError, match="8 to 24"):
+    with pytest.raises(ValueError, match="8 bytes or more"):
         substrings.remove_repeats(docs_of([]), gram=4)
 
 
@@ -141,6 +141,24 @@ def test_near_duplicates_match_all_pairs(docs_of):
     assert all(r["class_size"] == len(found[r["class_id"]]) for r in got)
 
 
+def test_groups_match_pairwise_similarities():
+    rng = np.random.default_rng(6)
+    idf = neardup.damped_idf(rng.integers(0, 50, (2, 1 << neardup.SKETCH_BITS)), 100)
+    for _ in range(20):
+        base = rng.choice(1 << 32, 60, replace=False).astype(np.uint64)
+        sets = []
+        for _ in range(rng.integers(2, 14)):
+            some = np.unique(np.where(rng.random(60) < 0.08, rng.integers(0, 1 << 32, 60), base).astype(np.uint64))
+            sets.append((some, rng.integers(1, 3, len(some)) if rng.random() < 0.3 else np.ones(len(some), int)))
+        n = len(sets)
+        apart = ~np.eye(n, dtype=bool)
+        want = np.arange(n)
+        for i, j in itertools.combinations(range(n), 2):
+            if neardup.similarity(sets[i], sets[j], idf) >= 0.8:
+                want[want == max(want[i], want[j])] = min(want[i], want[j])
+        assert (neardup.linked_groups(sets, apart, idf, 0.8) == want).all()
+
+
 def test_samples_agree_as_often_as_texts_are_similar():
     rng = np.random.default_rng(3)
     shared, a, b = (rng.integers(0, 1 << 32, n, dtype=np.uint64) for n in (600, 200, 200))
