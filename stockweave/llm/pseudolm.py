@@ -42,7 +42,7 @@ HIDDEN = 32
 ROUNDS = 2
 BATCH = 1024
 RATE = 0.5
-FAN_IN = 64
+FAN_IN = 16
 
 _U = np.uint64
 
