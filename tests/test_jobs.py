@@ -6,7 +6,7 @@ import pytest
 
 from stockweave.plans import fixtures as fx
 from stockweave.plans import jobs
-from stockweave.schemas import DIMENSIONS, FACTS
+from stockweave.schemas import DIMENSIONS, FACTS, TABLES
 from stockweave.sources.sinks import Warehouse
 from stockweave.sources.tables import read_if_exists, read_tables
 
@@ -99,9 +99,7 @@ def test_models_exports_and_warehouse_load(spark, raw_dir, loaded):
     jobs.run_warehouse_load(raw, target, found, fx.ORDER_TIEBREAK)
     scores = spark.read.parquet(f"{loaded}/cloud/ml_churn_scores")
     assert 0 < scores.count() <= 150
-    assert spark.read.parquet(f"{loaded}/cloud/ml_demand_forecasts").columns == [
-        "forecast_date", "predicted_demand", "model_name",
-    ]
+    assert spark.read.parquet(f"{loaded}/cloud/ml_demand_forecasts").columns == TABLES["ml_demand_forecasts"].names
     # dimensions are loaded as they come
     assert spark.read.parquet(f"{loaded}/cloud/dim_customers").filter("email IS NULL").count() > 0
 
