@@ -30,6 +30,16 @@ def _small_star(edges: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _unfinished(edges: DataFrame) -> bool:
+    """Whether some node points at two others, or is pointed at and points on."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("hit"))
+    ends = ends.unionAll(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("hit"))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("hit").alias("hit"))
+    return bool(nodes.filter((F.col("out") > 1) | (F.col("out") + F.col("hit") > 1)).head(1))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) of all nodes in `edges` (u, v): the label is the smallest node it reaches.
 
@@ -40,12 +50,7 @@ def components(edges: DataFrame) -> DataFrame:
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     )
     now = durable(now.distinct(), "edges")
-    seen = None
-    while True:
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == seen or not mark[0]:
-            break
-        seen = mark
+    while _unfinished(now):
         now = durable(_small_star(_large_star(now)), "stars")
     stars = now.select(F.col("u").alias("node"), F.col("v").alias("label"))
     return stars.unionAll(

@@ -9,9 +9,9 @@ all samples of a band share a bucket; links are pairs of a bucket whose exact we
 similarity is `threshold` or more. Classes are the connected components of the links.
 
 Copies (equal multisets) collapse to one node before anything is grouped. In a bucket, all
-nodes are compared with one leader first, then, as long as a bucket holds nodes of several
-classes, with further leaders; when few pairs between classes are left, all of those are
-compared. Pairs inside a class are never formed, and none between classes is left out. A pair
+nodes are compared with one leader first. Buckets that hold nodes of several classes then are
+compared in blocks, which return what is connected and no pairs. No pair of nodes of a bucket
+that are in different classes is left out. A pair
 with similarity 0.8 shares no bucket with probability (1 - 0.8^ROWS)^BANDS, 2e-4.
 
 Texts without words, null or empty, are classes of their own. A class is named by its smallest
@@ -42,6 +42,8 @@ THRESHOLD = 0.8
 BANDS = 12
 ROWS = 3
 
+BLOCK = 768  # nodes of a bucket compared at once with as many others
+
 SKETCH_BITS = 18  # counters per row of the sketch, as a power of two
 SKETCH_ROWS = 2
 _CHUNK = 1 << 14
@@ -216,19 +218,21 @@ def _packed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def _sketches(rows: DataFrame, idf, words: int, bands: int, per_band: int) -> DataFrame:
-    """(key, doc_id, node, bands): the node is a 128-bit hash of the multiset, null if empty."""
+    """(key, doc_id, node, weight, bands): the node is a 128-bit hash of the multiset, null if
+    that is empty; the weight is its total."""
 
     def sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
         owner, windows, counts = features(batch.column("text"), words)
         n = batch.num_rows
         nodes: list[bytes | None] = [None] * n
         made: list[list[int] | None] = [None] * n
+        total = np.zeros(n)
         if len(owner):
             first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
             names = _content_hashes(windows, counts, first)
-            hashes = as_signed(
-                band_hashes(owner, windows, weights(windows, counts, idf.value), bands, per_band)
-            )
+            weight = weights(windows, counts, idf.value)
+            hashes = as_signed(band_hashes(owner, windows, weight, bands, per_band))
+            total[owner[first]] = np.add.reduceat(weight.astype(np.float64), first)
             for k, i in enumerate(owner[first].tolist()):
                 nodes[i] = names[k]
                 made[i] = hashes[k]
@@ -237,12 +241,14 @@ def _sketches(rows: DataFrame, idf, words: int, bands: int, per_band: int) -> Da
                 batch.column("key"),
                 batch.column("doc_id"),
                 pa.array(nodes, pa.binary()),
+                pa.array(total),
                 pa.array(made, pa.list_(pa.int64())),
             ],
-            ["key", "doc_id", "node", "bands"],
+            ["key", "doc_id", "node", "weight", "bands"],
         )
 
-    return arrow_map(rows, sketch, "key string, doc_id long, node binary, bands array<long>")
+    schema = "key string, doc_id long, node binary, weight double, bands array<long>"
+    return arrow_map(rows, sketch, schema)
 
 
 def _content_hashes(windows: np.ndarray, counts: np.ndarray, first: np.ndarray) -> list[bytes]:
@@ -317,6 +323,139 @@ def _verified(pairs: DataFrame, sets: DataFrame, idf, threshold: float) -> DataF
     return pairs.join(right, "v").join(left, "u").mapInArrow(check, "u binary, v binary")
 
 
+def linked_groups(
+    sets: list[tuple[np.ndarray, np.ndarray]],
+    apart: np.ndarray,
+    idf: np.ndarray,
+    threshold: float,
+) -> np.ndarray:
+    """The smallest position each set is connected with by links; `apart` has the pairs to test.
+
+    All similarities at once: every copy of a window is a feature of its own, so what two sets
+    share is a product of matrices over the features that occur twice or more.
+    """
+    n = len(sets)
+    windows = np.concatenate([w for w, _ in sets])
+    counts = np.concatenate([c for _, c in sets])
+    owner = np.repeat(np.arange(n), [len(w) for w, _ in sets])
+    one = weights(windows, np.ones(len(windows), dtype=np.int64), idf).astype(np.float64)
+    total = np.bincount(owner, weights=one * counts, minlength=n)
+    at = np.repeat(np.arange(len(windows)), counts)
+    copy = np.arange(len(at)) - np.repeat(np.cumsum(counts) - counts, counts)
+    features, column, times = np.unique(
+        (windows[at] << _U(32)) | copy.astype(_U), return_inverse=True, return_counts=True
+    )
+    keep = times[column] > 1
+    order = np.argsort(column[keep], kind="stable")
+    column, at = column[keep][order], at[keep][order]
+    column = np.cumsum(np.concatenate([[0], np.diff(column) > 0])) if len(column) else column
+    shared = np.zeros((n, n))
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, 1024):
+        a, b = np.searchsorted(column, [start, start + 1024])
+        part = np.zeros((n, 1024))
+        part[owner[at[a:b]], column[a:b] - start] = np.sqrt(one[at[a:b]])
+        shared += part @ part.T
+    both = total[:, None] + total[None, :] - shared
+    near = apart & (shared >= (threshold - 1e-9) * both)
+    sure = shared >= (threshold + 1e-9) * both
+    for i, j in np.argwhere(near & ~sure):  # as close to the threshold as rounding
+        near[i, j] = near[j, i] = similarity(sets[i], sets[j], idf) >= threshold
+    label = np.arange(n)
+    while True:
+        best = np.minimum(label, np.where(near, label[None, :], n).min(axis=1))
+        best = best[best]
+        if (best == label).all():
+            return label
+        label = best
+
+
+def _block_links(open_: DataFrame, sets: DataFrame, idf, threshold: float) -> DataFrame:
+    """Links (u, v) that connect what is similar among the nodes (bucket, band, node, label, n).
+
+    The nodes of a bucket are dealt to blocks of about BLOCK; a task compares two blocks, and
+    returns at most one row for each of their nodes, not pairs.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK)
+    other = F.col("other")
+    dealt = (
+        open_.withColumn("block", F.pmod(F.xxhash64("node"), blocks))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+        .withColumn("low", F.least("block", other))
+        .withColumn("high", F.greatest("block", other))
+        .drop("n", "other")
+    )
+
+    def compare(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        node, label, block = (group.column(c).to_pylist() for c in ("node", "label", "block"))
+        found = [
+            (
+                np.frombuffer(w.as_buffer(), dtype="<u4").astype(_U),
+                np.frombuffer(c.as_buffer(), dtype="<u4").astype(np.int64),
+            )
+            for w, c in zip(group.column("windows"), group.column("counts"), strict=True)
+        ]
+        number = np.unique(np.array(label, dtype=object), return_inverse=True)[1]
+        apart = number[:, None] != number[None, :]
+        if key[2].as_py() != key[3].as_py():  # pairs inside a block are compared elsewhere
+            block = np.array(block)
+            apart &= block[:, None] != block[None, :]
+        group_of = linked_groups(found, apart, idf.value, threshold)
+        rows = [(node[g], node[i]) for i, g in enumerate(group_of.tolist()) if g != i]
+        u, v = zip(*rows, strict=True) if rows else ((), ())
+        return pa.table({"u": pa.array(u, pa.binary()), "v": pa.array(v, pa.binary())})
+
+    return (
+        dealt.join(sets, "node")
+        .groupBy("bucket", "band", "low", "high")
+        .applyInArrow(compare, "u binary, v binary")
+    )
+
+
+def _linked_labels(
+    members: DataFrame, wanted: DataFrame, sets: DataFrame, idf, threshold: float
+) -> DataFrame:
+    """(node, label) of the nodes that share a bucket: components of the links among them.
+
+    First every bucket's nodes are compared with one leader: the node of the highest degree, as
+    the text that copies were made from is like all of them. Buckets that then hold nodes of
+    several classes are compared in blocks. Pairs whose weights alone rule out the similarity
+    (min / max is an upper bound of it) need no comparison with a leader.
+    """
+
+    def labelled_by(links: DataFrame) -> DataFrame:
+        joined = wanted.join(components(links), "node", "left")
+        return durable(joined.withColumn("label", F.coalesce("label", "node")), "labels")
+
+    rows = members.join(wanted, "node")
+    leader = F.max_by(F.struct("node", "weight"), F.struct("degree", "node")).alias("leader")
+    leaders = rows.groupBy("bucket", "band").agg(leader)
+    light, heavy = (f("weight", "leader.weight") for f in (F.least, F.greatest))
+    pairs = (
+        rows.join(leaders, ["bucket", "band"])
+        .filter((F.col("node") != F.col("leader.node")) & (light >= threshold * heavy))
+        .select(F.col("leader.node").alias("u"), F.col("node").alias("v"))
+        .distinct()
+    )
+    links = durable(_verified(pairs, sets, idf, threshold), "links")
+    labels = labelled_by(links)
+    labelled = durable(
+        members.join(labels.select("node", "label"), "node"), "labelled"
+    )
+    mixed = (
+        labelled.groupBy("bucket", "band")
+        .agg(
+            F.count("*").alias("n"),
+            F.min("label").alias("first"),
+            F.max("label").alias("last"),
+        )
+        .filter(F.col("first") != F.col("last"))
+        .select("bucket", "band", "n")
+    )
+    open_ = labelled.join(mixed, ["bucket", "band"])
+    more = durable(_block_links(open_, sets, idf, threshold), "more-links")
+    return labelled_by(links.unionAll(more)).select("node", "label")
+
+
 def near_duplicates(
     docs: DataFrame,
     threshold: float = THRESHOLD,
@@ -336,75 +475,38 @@ def near_duplicates(
     idf = spark.sparkContext.broadcast(damped_idf(sketch, documents))
     sketched = durable(_sketches(named, idf, words, bands, rows), "sketches")
 
-    nodes = (
+    nodes = durable(
         sketched.filter("node IS NOT NULL")
         .groupBy("node")
-        .agg(F.min("key").alias("key"), F.any_value("bands").alias("bands"))
+        .agg(
+            F.min("key").alias("key"),
+            F.any_value("weight").alias("weight"),
+            F.any_value("bands").alias("bands"),
+        ),
+        "nodes",
     )
-    nodes = durable(nodes, "nodes")
     buckets = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = buckets.groupBy("bucket", "band").agg(F.count("*").alias("n")).filter("n > 1")
-    members = durable(
-        buckets.join(shared.drop("n"), ["bucket", "band"]).select("bucket", "band", "node"),
-        "members",
+    members = durable(buckets.join(shared, ["bucket", "band"]), "members")
+    # a node that is like many others meets them in large buckets
+    wanted = durable(
+        members.groupBy("node")
+        .agg(F.sum("n").alias("degree"))
+        .join(nodes.select("node", "key", "weight"), "node"),
+        "wanted",
     )
-    wanted = members.select("node").distinct().join(nodes.select("node", "key"), "node")
     sets = durable(
         _sets(
-            named.select("key", "text").join(wanted, "key").select("node", "text"), words
+            named.select("key", "text")
+            .join(wanted.select("key", "node"), "key")
+            .select("node", "text"),
+            words,
         ).dropDuplicates(["node"]),
         "sets",
     )
-
-    links = None
-    labels = members.select("node", F.col("node").alias("label")).distinct()
-    size = nodes.count()
-    tested = 0
-    while True:
-        labelled = durable(members.join(labels, "node"), "labelled")
-        per_label = labelled.groupBy("bucket", "band", "label").agg(F.count("*").alias("n"))
-        mixed = (
-            per_label.groupBy("bucket", "band")
-            .agg(
-                F.count("*").alias("labels"),
-                F.sum("n").alias("n"),
-                F.sum(F.col("n") * F.col("n")).alias("inside"),
-            )
-            .filter("labels > 1")
-        )
-        mixed = durable(mixed, "mixed")
-        across = mixed.agg(F.sum((F.col("n") * F.col("n") - F.col("inside")) / 2)).first()[0] or 0
-        if not across:
-            break
-        open_ = labelled.join(mixed.select("bucket", "band"), ["bucket", "band"])
-        last = tested and across <= 20 * size
-        if last:
-            other = open_.select("bucket", "band", F.col("node").alias("v"), F.col("label").alias("lv"))
-            pairs = (
-                open_.withColumnRenamed("node", "u")
-                .join(other, ["bucket", "band"])
-                .filter((F.col("u") < F.col("v")) & (F.col("label") != F.col("lv")))
-            )
-        else:
-            leader = F.min_by(F.struct("node", "label"), F.xxhash64("node", F.lit(tested)))
-            leaders = open_.groupBy("bucket", "band").agg(leader.alias("leader"))
-            pairs = (
-                open_.join(leaders, ["bucket", "band"])
-                .filter(F.col("label") != F.col("leader.label"))
-                .select(F.col("leader.node").alias("u"), F.col("node").alias("v"))
-            )
-        found = durable(_verified(pairs.select("u", "v").distinct(), sets, idf, threshold), "links")
-        links = found if links is None else links.unionAll(found)
-        labels = durable(
-            members.select("node")
-            .distinct()
-            .join(components(links), "node", "left")
-            .select("node", F.coalesce("label", "node").alias("label")),
-            "labels",
-        )
-        tested += 1
-        if last:
-            break
+    labels = _linked_labels(
+        members.select("bucket", "band", "node"), wanted, sets, idf, threshold
+    )
     classes = sketched.select("key", "doc_id", "node").join(labels, "node", "left")
     # A text without words is a class of its own document; copies share their node.
     classes = durable(
