@@ -10,6 +10,9 @@ judged on the input.
 2. These segments, each content once with its first place, are dealt by their hash to shards.
 3. A shard is suffix-sorted (`suffixsort`); neighbours with a common prefix of `length` bytes or
    more form classes of equal windows, and each class has a first place.
+   A key whose contents exceed a shard (a passage that many documents share gets a content of
+   its own from each document at its edges) isn't dealt: its windows are grouped by their own
+   128-bit hashes, so no task holds them together.
 4. The occurrences of each content are compared with these first places; what starts later is
    covered, spans are united per document, and the texts are cut.
 
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockweave.durable import durable
-from stockweave.llm.common import arrow_map, as_signed, mix, span_hashes, utf8
+from stockweave.llm.common import arrow_map, as_signed, mix, slices, span_hashes, utf8
 from stockweave.llm.suffixsort import window_classes
 
 LENGTH = 100
@@ -278,6 +281,132 @@ def _sorted_shard(length: int):
     return sort
 
 
+_KEY_BITS = 16  # keys are first weighed together by so many of their bits
+
+
+def _heavy_keys(found: DataFrame, shard_bytes: int) -> tuple[DataFrame | None, int]:
+    """Keys with more than `shard_bytes` of contents, if any, and the bytes of all keys.
+
+    A content counts once for each slice it was found in. There is at most one such key for
+    every shard.
+    """
+    with_bytes = found.filter("bytes IS NOT NULL")
+    group = F.shiftrightunsigned("key", 64 - _KEY_BITS)
+    size = F.sum(F.octet_length("bytes")).alias("size")
+    sizes = durable(with_bytes.groupBy(group.alias("group")).agg(size), "key-sizes")
+    total, most = sizes.agg(F.sum("size"), F.max("size")).first()
+    if not total or most <= shard_bytes:
+        return None, total or 0
+    groups = sizes.filter(F.col("size") > shard_bytes).select("group")
+    keys = (
+        with_bytes.withColumn("group", group)
+        .join(groups, "group", "left_semi")
+        .groupBy("key")
+        .agg(size)
+        .filter(F.col("size") > shard_bytes)
+        .select("key")
+    )
+    keys = durable(keys, "heavy-keys")
+    return (keys if keys.first() else None), total
+
+
+def _contents(found: DataFrame, shards: int | None = None) -> DataFrame:
+    """Each content once, with its first place; all of a key in one partition if there are shards.
+
+    One shuffle does both then: what a light key has in all slices fits a shard.
+    """
+    rows = found.filter("bytes IS NOT NULL")
+    return (
+        (rows.repartition(shards, "key") if shards else rows)
+        .groupBy("key", "a", "b")
+        .agg(F.min(F.struct("doc", "tag", "start", "n", "inner", "bytes")).alias("first"))
+        .select("key", "a", "b", "first.*")
+    )
+
+
+_WINDOW_ROWS = 1 << 16
+
+
+def _window_hashes(part: pa.RecordBatch, length: int) -> tuple[np.ndarray, ...]:
+    """(content number, offset, hash, second hash) of all windows of the contents."""
+    raw, borders = utf8(part.column("bytes"))
+    windows = np.diff(borders) - length + 1
+    owner = np.repeat(np.arange(len(windows)), windows)
+    offset = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    starts = borders[owner] + offset
+    return owner, offset, *(span_hashes(raw, starts, starts + length, k) for k in (0, 1))
+
+
+def _window_runs(contents: DataFrame, length: int) -> DataFrame:
+    """(a, b, runs) as `_sorted_shard` gives, with the windows grouped by their hashes.
+
+    All windows of a content come first where it comes first, unless an equal window has an
+    earlier place. Only windows whose hash occurs twice travel.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "bytes"):
+            key, n = np.unique(_window_hashes(part, length)[2], return_counts=True)
+            for at in range(0, len(key), _WINDOW_ROWS):
+                end = at + _WINDOW_ROWS
+                columns = [pa.array(as_signed(key[at:end])), pa.array(n[at:end])]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "n"])
+
+    counts = contents.select("bytes").mapInArrow(count, "key long, n long")
+    again = counts.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
+    bits = contents.sparkSession.sparkContext.broadcast(
+        _filter_bits(durable(again, "window-keys"))
+    )
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "bytes"):
+            owner, offset, key, key2 = _window_hashes(part, length)
+            wanted = np.flatnonzero(_is_set(bits.value, key))
+            a, b, doc, tag, start = (
+                part.column(c).to_numpy() for c in ("a", "b", "doc", "tag", "start")
+            )
+            for at in range(0, len(wanted), _WINDOW_ROWS):
+                k = wanted[at : at + _WINDOW_ROWS]
+                of = owner[k]
+                columns = [as_signed(key[k]), as_signed(key2[k]), a[of], b[of], offset[k]]
+                columns += [doc[of], tag[of], start[of] + offset[k]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.int64()) for c in columns], names
+                )
+
+    names = ["key", "key2", "a", "b", "offset", "doc", "tag", "at"]
+    windows = durable(
+        contents.select("a", "b", "doc", "tag", "start", "bytes").mapInArrow(
+            place, ", ".join(f"{n} long" for n in names)
+        ),
+        "windows",
+    )
+    here = F.struct("doc", "tag", "at")
+    firsts = windows.groupBy("key", "key2").agg(F.min(here).alias("first"))
+
+    def run(first, end, doc, tag, shift):
+        parts = zip(("from", "to", "doc", "tag", "shift"), (first, end, doc, tag, shift), strict=True)
+        return F.struct(*[c.cast("long").alias(n) for n, c in parts])
+
+    own = contents.select(
+        "a", "b", F.array(run(F.lit(0), *map(F.col, ("n", "doc", "tag", "start")))).alias("runs")
+    )
+    first = F.col("first")
+    offset = F.col("offset")
+    earlier = (
+        windows.join(firsts, ["key", "key2"])
+        .filter(here > first)
+        .select(
+            "a",
+            "b",
+            F.array(
+                run(offset, offset + 1, first["doc"], first["tag"], first["at"] - offset)
+            ).alias("runs"),
+        )
+    )
+    return own.unionAll(earlier)
+
+
 def repeated_spans(
     docs: DataFrame,
     length: int = LENGTH,
@@ -295,19 +424,16 @@ def repeated_spans(
         _filter_bits(durable(_repeated_keys(rows, length, gram), "keys"))
     )
     found = durable(_occurrences(rows, bits, length, gram), "occurrences")
-    contents = (
-        found.filter("bytes IS NOT NULL")
-        .groupBy("key", "a", "b")
-        .agg(F.min(F.struct("doc", "tag", "start", "n", "inner", "bytes")).alias("first"))
-        .select("key", "a", "b", "first.*")
-    )
-    total = found.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+    heavy, total = _heavy_keys(found, shard_bytes)
+    light = found if heavy is None else found.join(F.broadcast(heavy), "key", "left_anti")
+    contents = _contents(light, max(1, -(-total // shard_bytes)))
     runs = durable(
-        contents.repartition(max(1, -(-total // shard_bytes)), "key").mapInArrow(
-            _sorted_shard(length), f"a long, b long, runs {_RUNS}"
-        ),
-        "runs",
+        contents.mapInArrow(_sorted_shard(length), f"a long, b long, runs {_RUNS}"), "runs"
     )
+    if heavy is not None:
+        shared = found.join(F.broadcast(heavy), "key", "left_semi")
+        more = _window_runs(durable(_contents(shared), "heavy"), length)
+        runs = runs.unionAll(durable(more, "window-runs"))
     place = F.struct("doc", "tag", "start")
     run = F.col("run")
     return (

@@ -90,6 +90,32 @@ def test_removal_edges(docs_of):
         substrings.remove_repeats(docs_of([]), gram=4)
 
 
+def test_shards_stay_small_where_many_documents_share_a_passage(docs_of, monkeypatch):
+    rnd = random.Random(11)
+    passage = "".join(rnd.choices("abcdefgh ", k=300))
+    rows = []
+    for k in range(3000):
+        before, after = ("".join(rnd.choices("abcdefgh ", k=rnd.randint(90, 120))) for _ in "ab")
+        rows.append((k, before + passage[: rnd.choice([300, 300, 250])] + after))
+    made = substrings._sorted_shard
+
+    def bounded(length):
+        sort = made(length)
+
+        def run(batches):
+            batches = list(batches)
+            held = sum(len(x) for b in batches for x in b.column("bytes").to_pylist())
+            if held > 80_000:
+                raise MemoryError(f"a shard of {held} bytes")
+            return sort(iter(batches))
+
+        return run
+
+    monkeypatch.setattr(substrings, "_sorted_shard", bounded)
+    got = substrings.remove_repeats(docs_of(rows), shard_bytes=20_000).collect()
+    assert {r["doc_id"]: tuple(r)[1:] for r in got} == plain_removal(rows, 100)
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7), (200, 201)]
     edges = spark.createDataFrame(chain, "u long, v long")
