@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from stockweave.llm import (
+    divergence,
     langid,
     linededup,
     mixing,
@@ -19,6 +20,7 @@ from stockweave.llm import (
     substrings,
     tokenfiles,
     topk,
+    vectorcodes,
 )
 from stockweave.llm.common import table, vocabulary
 from stockweave.llm.shipping import ship
@@ -161,6 +163,24 @@ def op10_induced_substrings(spark, sf_dir):
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_source_divergence(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("lang", "source", "text")
+    return divergence.audit(docs)
+
+
+_SQL["op11_source_divergence"] = divergence.SQL
+
+
+@query
+def op13_norm_of_sum_codes(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    return vectorcodes.code_table(vectors)
+
+
+_SQL["op13_norm_of_sum_codes"] = vectorcodes.sql()
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
