@@ -8,12 +8,15 @@ are cut into slices of bounded bytes; one text is never cut.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import AbstractContextManager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockweave.durable import remove, scratch_path
+
 SLICE_BYTES = 1 << 19  # of text handled at once, unless a single text is longer
 
 # White space of the text operators: space, tab, line feed, vertical tab, form feed, return.
@@ -37,6 +40,30 @@ def texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     )
 
 
+class Scratch(AbstractContextManager):
+    """Results written once to shared scratch space, and removed at the end of the block."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def store(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(self.spark, label)
+        self.paths.append(path)
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def release(self, keep: int = 0) -> None:
+        """Remove all but the `keep` latest results."""
+        gone = self.paths[: len(self.paths) - keep]
+        self.paths = self.paths[len(gone) :]
+        for path in gone:
+            remove(self.spark, path)
+
+    def __exit__(self, *_) -> None:
+        self.release()
+
+
 def vocabulary(name: str) -> str:
     """Place of a public vocabulary file."""
     import public_tokenizers

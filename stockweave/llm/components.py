@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockweave.durable import durable
+from stockweave.llm.common import Scratch
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -43,16 +44,21 @@ def _unfinished(edges: DataFrame) -> bool:
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) of all nodes in `edges` (u, v): the label is the smallest node it reaches.
 
-    Nulls and loops are ignored. Every round is written to shared scratch space; the number
-    of rounds grows with the logarithm of the longest chain.
+    Nulls and loops are ignored. Every round is written to shared scratch space and removed when
+    the next one is written; the number of rounds grows with the logarithm of the longest chain.
     """
     now = edges.filter(F.col("u") != F.col("v")).select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     )
-    now = durable(now.distinct(), "edges")
-    while _unfinished(now):
-        now = durable(_small_star(_large_star(now)), "stars")
-    stars = now.select(F.col("u").alias("node"), F.col("v").alias("label"))
-    return stars.unionAll(
-        now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
-    )
+    with Scratch(edges.sparkSession) as scratch:
+        now = scratch.store(now.distinct(), "edges")
+        while _unfinished(now):
+            now = scratch.store(_small_star(_large_star(now)), "stars")
+            scratch.release(keep=1)
+        stars = now.select(F.col("u").alias("node"), F.col("v").alias("label"))
+        return durable(
+            stars.unionAll(
+                now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
+            ),
+            "components",
+        )

@@ -20,6 +20,7 @@ from stockweave.llm import (
     substrings,
     tokenfiles,
     topk,
+    triejoin,
     vectorcodes,
 )
 from stockweave.llm.common import table, vocabulary
@@ -172,6 +173,15 @@ def op11_source_divergence(spark, sf_dir):
 _SQL["op11_source_divergence"] = divergence.SQL
 
 
+@query
+def op12_prefix_trie_join(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return triejoin.link_components(docs).drop("copies")
+
+
+_SQL["op12_prefix_trie_join"] = triejoin.SQL
+
+
 @query
 def op13_norm_of_sum_codes(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")

@@ -62,9 +62,8 @@ class Codebook:
     def __post_init__(self) -> None:
         self.small = all(abs(x) < _EXACT for entry in self.exact for x in entry)
         width = len(self.exact[0]) if self.exact else 0
-        self.values = np.array(self.exact if self.small else [], dtype=np.float64).reshape(
-            -1, width
-        )
+        rows = self.exact if self.small else []
+        self.values = np.array(rows, dtype=np.float64).reshape(len(rows), width)
         self.squares = np.einsum("ij,ij->i", self.values, self.values)
 
 

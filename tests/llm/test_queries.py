@@ -6,7 +6,7 @@ from stockweave.llm.queries import oracle_sql, queries
 def test_every_operator_is_registered():
     names = set(queries())
     assert names <= set(__spark_entry__.queries())
-    assert {n.split("_")[0] for n in names} == {f"op{k}" for k in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{k}" for k in range(1, 14)} | {"pipeline"}
     assert set(oracle_sql()) <= names
 
 
