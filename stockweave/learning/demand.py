@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockweave.durable import durable, scratch_dir
+from stockweave.durable import durable
+from stockweave.learning.boosting import BoostedTrees, train_boosted
 from stockweave.operators.demand import DEFAULT_KEYS, TARGET, forecast_rows
 from stockweave.operators.evaluation import forecast_metrics, hash_split
 
@@ -35,24 +33,15 @@ def train_demand(
     max_iter: int = 100,
     max_depth: int = 6,
     step_size: float = 0.1,
-    seed: int = 42,
-) -> PipelineModel:
-    scratch_dir(train.sparkSession)  # long boosting lineages are cut there
-    assembler = VectorAssembler(inputCols=[*keys, *CALENDAR, *HISTORY], outputCol="features")
-    booster = GBTRegressor(
-        labelCol=TARGET,
-        maxIter=max_iter,
-        maxDepth=max_depth,
-        stepSize=step_size,
-        seed=seed,
-        checkpointInterval=10,
+) -> BoostedTrees:
+    return train_boosted(
+        train, [*keys, *CALENDAR, *HISTORY], TARGET, max_iter, max_depth, step_size
     )
-    return Pipeline(stages=[assembler, booster]).fit(train)
 
 
 def demand_forecast(
     features: DataFrame, keys: Sequence[str] = DEFAULT_KEYS, **training
-) -> tuple[PipelineModel, DataFrame, DataFrame]:
+) -> tuple[BoostedTrees, DataFrame, DataFrame]:
     """(model, forecasts of the held-out rows, their error)."""
     train, held_out = split_features(features, keys)
     model = train_demand(train, keys, **training)

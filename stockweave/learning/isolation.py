@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from stockweave.durable import durable
 from stockweave.functions.order_stats import percentile
 from stockweave.learning import trees as tree_arrays
-from stockweave.learning.trees import grow_tree, mean_path, path_lengths
+from stockweave.learning.trees import grow_tree, mean_path, path_lengths, uniforms
 from stockweave.operators.ranking import head_of_groups
 
 FEATURES = ("quantity", "unit_price", "total_amount", "shipping_cost", "discount_pct")
@@ -76,6 +77,41 @@ class IsolationForest:
         return df.withColumn(SCORE, F.round(isolation_score(*inputs), 9))
 
 
+def _offered(numeric: DataFrame, names: list[str], trees: int, share: float) -> DataFrame:
+    """(tree, draw, row, *names): every tree is offered a row with probability `share`."""
+    draw = F.xxhash64("row", "tree").alias("draw")
+    if share >= 1:
+        every = F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")
+        return numeric.select("row", *names, every).select("tree", draw, "row", *names)
+    # the length of a run of trees that pass a row over: geometric, from a uniform number
+    scale = 1.0 / math.log1p(-share)
+    top = F.shiftrightunsigned(F.xxhash64("row", F.lit("first")), 11).cast("double")
+    jump = F.floor(F.log((top + F.lit(0.5)) * F.lit(2.0**-53)) * F.lit(scale))
+    starting = numeric.select("row", *names, jump.alias("tree")).filter(F.col("tree") < trees)
+
+    def jump_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("tree")
+            tree = batch.column(at).to_numpy()
+            seed = batch.column("row").to_numpy().view(np.uint64)
+            mine = np.arange(len(tree))
+            k = 0
+            while len(mine):
+                yield batch.take(pa.array(mine)).set_column(
+                    at, "tree", pa.array(tree.astype(np.int64))
+                )
+                k += 1
+                u = uniforms(seed[mine], k)
+                tree = tree + 1 + np.floor(np.log(u) * scale).astype(np.int64)
+                keep = tree < trees
+                mine, tree = mine[keep], tree[keep]
+
+    offered = starting.mapInArrow(jump_on, starting.schema)
+    return offered.withColumn("tree", F.col("tree").cast("int")).select(
+        "tree", draw, "row", *names
+    )
+
+
 def fit_forest(
     df: DataFrame,
     features: Sequence[str] = FEATURES,
@@ -85,10 +121,11 @@ def fit_forest(
 ) -> IsolationForest:
     """Grow `trees` trees from `sample_size` random rows each.
 
-    A tree takes the rows with the smallest hashes of the tree's number and all columns of
-    the row, so the draw depends on the rows alone and not on how they are spread, and all rows
-    take part at every size. Hashes that are too large to be among the smallest are left
-    out before rows are sorted; should a tree lack rows then, they are all sorted.
+    A row's hash says by how many trees to jump to the first one it is offered to, and from there
+    to the next, so the work follows the number of draws and not rows x trees. Of the rows
+    offered to it a tree takes those with the smallest hashes of its number and the row. The draw
+    depends on the rows alone and not on how they are spread, and all rows take part at
+    every size. Should a tree be offered too few, rows are offered to all trees.
     """
     numeric = df.select(
         F.xxhash64(*df.columns, F.lit(seed)).alias("row"),
@@ -97,18 +134,10 @@ def fit_forest(
     names = list(features)
     rows = numeric.count()
     size = min(sample_size, rows)
-    numbers = F.sequence(F.lit(0), F.lit(trees - 1))
 
     def drawn(share: float) -> DataFrame:
-        last = F.lit(int(-(2.0**63) + share * 2.0**64)) if share < 1 else F.lit((1 << 63) - 1)
-        draws = F.transform(
-            numbers, lambda t: F.struct(t.alias("tree"), F.xxhash64("row", t).alias("draw"))
-        )
-        offered = numeric.withColumn("one", F.explode(F.filter(draws, lambda d: d["draw"] <= last)))
         order = [F.col("draw"), F.col("row"), *[F.col(c) for c in names]]
-        return head_of_groups(
-            offered.select("one.*", "row", *names), ["tree"], order, size
-        )
+        return head_of_groups(_offered(numeric, names, trees, share), ["tree"], order, size)
 
     # four times the expected number: fewer than `size` is all but impossible
     share = min(1.0, 4 * size / rows + 64 / rows) if rows else 1.0

@@ -16,6 +16,15 @@ def mean_path(n: int) -> float:
     return 2.0 * (math.log(n - 1.0) + np.euler_gamma) - 2.0 * (n - 1.0) / n
 
 
+def uniforms(seed: np.ndarray, k: int) -> np.ndarray:
+    """The k-th number between 0 and 1 that belongs to each 64-bit seed."""
+    h = seed + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+    h ^= h >> np.uint64(31)
+    return ((h >> np.uint64(11)).astype(float) + 0.5) * 2.0**-53
+
+
 def grow_tree(x: np.ndarray, depth: int, rng: np.random.Generator):
     """A complete binary tree in heap order: `feature` and `cut` of the inner nodes, and the
     path length stored at each bottom position."""

@@ -286,7 +286,7 @@ def run_models(
     )
     churn_model, scores, hit_rate = churn_scores(churn_features(orders, as_of), as_of)
     forest, detected = detect_anomalies(orders.select(*INPUTS))
-    save_model(demand_model, f"{models}/demand")
+    demand_model.save(f"{models}/demand", orders.sparkSession)
     save_model(churn_model, f"{models}/churn")
     forest.save(f"{models}/anomaly")
     warehouse.replace(forecasts, "ml_demand_forecasts")
