@@ -127,18 +127,19 @@ def clean_inventory(df: DataFrame) -> DataFrame:
     return df.withColumn("quantity_on_hand", F.coalesce("quantity_on_hand", F.lit(0)))
 
 
-def first_with_copies(orders: DataFrame, order: Sequence[str] = ()) -> DataFrame:
-    """What the row rules look at of each order line's first copy, and how many copies it has.
+def classify_counted(df: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """As `classify_orders`, with `copies`: how many rows an order line has.
 
     The smallest struct in the order of `dedupe_first` is the first copy: one partial
     aggregation instead of a sort, and no second scan for the count.
     """
-    rest = [c for c in orders.columns if c not in order and c != ORDER_KEY]
-    return (
-        orders.groupBy(ORDER_KEY)
-        .agg(F.min(F.struct(*order, *rest)).alias("first"), F.count("*").alias("copies"))
-        .select("first.customer_id", "first.quantity", "first.total_amount", "copies")
+    rest = [c for c in df.columns if c not in order and c != ORDER_KEY]
+    first = df.groupBy(ORDER_KEY).agg(
+        F.min(F.struct(*order, *rest)).alias("first"), F.count("*").alias("copies")
     )
+    return first.select(
+        *[F.col(c) if c == ORDER_KEY else F.col(f"first.{c}") for c in df.columns], "copies"
+    ).withColumn("reject_reason", reject_reason())
 
 
 def _long_form(counts: DataFrame, table: str) -> DataFrame:
@@ -158,9 +159,16 @@ def cleaning_report(
 
     The number of copies is counted along with the first copy of each order line.
     """
-    lines = first_with_copies(orders, order).withColumn("reason", reject_reason())
-    reason = F.col("reason")
-    order_counts = lines.agg(
+    return audit_report(classify_counted(orders, order), customers, products, inventory)
+
+
+def audit_report(
+    classified: DataFrame, customers: DataFrame, products: DataFrame, inventory: DataFrame
+) -> DataFrame:
+    """Audit counts of orders that `classify_counted` gave, so that a run that stored them
+    counts what it stored and doesn't look at the raw orders again."""
+    reason = F.col("reject_reason")
+    order_counts = classified.agg(
         F.count("*").alias("after_dedupe"),
         F.count_if(reason == MISSING_CUSTOMER).alias("quarantined_no_customer"),
         # null quantities and totals are dropped but were never counted as negative

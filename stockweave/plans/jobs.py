@@ -22,6 +22,7 @@ from stockweave.schemas import DIMENSIONS, FACTS, TABLES
 from stockweave.sources.sinks import (
     Warehouse,
     full_refresh,
+    published,
     publish_zone,
     refresh_star_schema,
     save_model,
@@ -50,10 +51,12 @@ def run_etl(
 ) -> dict[str, DataFrame]:
     """Clean the five tables and load them; orders without a customer go to quarantine.
 
-    Duplicates are resolved once: the clean table and the quarantine read that result. The
-    audit counts of the run are stored as `cleaning_audit`. Returns what was loaded.
+    Raw orders are scanned once: duplicates are resolved and counted in that scan, and the clean
+    table, the quarantine and the audit counts, stored as `cleaning_audit`, read its
+    result. Returns what was loaded.
     """
-    classified = durable(cleaning.classify_orders(raw["fact_orders"], order), "classified")
+    counted = durable(cleaning.classify_counted(raw["fact_orders"], order), "classified")
+    classified = counted.drop("copies")
     write_quarantine(
         cleaning.rejected(classified, MISSING_CUSTOMER), quarantine, "orders_no_customer"
     )
@@ -66,15 +69,12 @@ def run_etl(
         ),
         "fact_inventory": cleaning.clean_inventory(raw["fact_inventory"]),
     }
-    refresh_star_schema(loaded, warehouse)
-    audit = cleaning.cleaning_report(
-        raw["fact_orders"],
-        raw["dim_customers"],
-        raw["dim_products"],
-        raw["fact_inventory"],
-        order,
+    audit = cleaning.audit_report(
+        counted, raw["dim_customers"], raw["dim_products"], raw["fact_inventory"]
     )
-    warehouse.replace(audit, "cleaning_audit")
+    with published(warehouse, counted.sparkSession):
+        refresh_star_schema(loaded, warehouse)
+        warehouse.replace(audit, "cleaning_audit")
     return {**loaded, "cleaning_audit": audit}
 
 
@@ -190,35 +190,36 @@ def run_warehouse_load(
 ) -> None:
     """Load the cloud warehouse: dimensions as they come, orders under the row rules,
     inventory with its gaps filled, and the model outputs of the extracts."""
-    refresh_star_schema(
-        {
-            **{name: raw[name] for name in DIMENSIONS},
-            "fact_orders": cleaning.silver_orders(raw["fact_orders"], order),
-            "fact_inventory": cleaning.clean_inventory(raw["fact_inventory"]),
-        },
-        warehouse,
-    )
-    extracts = extracts or {}
-    if "demand_forecast" in extracts:
-        # an extract has names in place of ids: those columns stay null
-        found = extracts["demand_forecast"]
-        full_refresh(
-            found.select(
-                *[
-                    F.col(f.name) if f.name in found.columns else F.lit(None).alias(f.name)
-                    for f in TABLES["ml_demand_forecasts"]
-                ]
-            ),
-            "ml_demand_forecasts",
+    with published(warehouse, raw["fact_orders"].sparkSession):
+        refresh_star_schema(
+            {
+                **{name: raw[name] for name in DIMENSIONS},
+                "fact_orders": cleaning.silver_orders(raw["fact_orders"], order),
+                "fact_inventory": cleaning.clean_inventory(raw["fact_inventory"]),
+            },
             warehouse,
         )
-    if "customer_analytics" in extracts:
-        warehouse.replace(
-            extracts["customer_analytics"]
-            .select("customer_id", "churn_probability", "risk_segment", "scored_date")
-            .na.drop("any"),
-            "ml_churn_scores",
-        )
+        extracts = extracts or {}
+        if "demand_forecast" in extracts:
+            # an extract has names in place of ids: those columns stay null
+            found = extracts["demand_forecast"]
+            full_refresh(
+                found.select(
+                    *[
+                        F.col(f.name) if f.name in found.columns else F.lit(None).alias(f.name)
+                        for f in TABLES["ml_demand_forecasts"]
+                    ]
+                ),
+                "ml_demand_forecasts",
+                warehouse,
+            )
+        if "customer_analytics" in extracts:
+            warehouse.replace(
+                extracts["customer_analytics"]
+                .select("customer_id", "churn_probability", "risk_segment", "scored_date")
+                .na.drop("any"),
+                "ml_churn_scores",
+            )
 
 
 def run_exports(
@@ -289,8 +290,9 @@ def run_models(
     demand_model.save(f"{models}/demand", orders.sparkSession)
     save_model(churn_model, f"{models}/churn")
     forest.save(f"{models}/anomaly")
-    warehouse.replace(forecasts, "ml_demand_forecasts")
-    full_refresh(scores, "ml_churn_scores", warehouse)
+    with published(warehouse, orders.sparkSession):
+        warehouse.replace(forecasts, "ml_demand_forecasts")
+        full_refresh(scores, "ml_churn_scores", warehouse)
     write_quarantine(anomalies(detected), quarantine, "anomaly_orders")
     return {
         "forecasts": forecasts,

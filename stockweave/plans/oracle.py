@@ -480,6 +480,42 @@ SELECT 'bad_date', '{"order_line_id":' || CAST(order_line_id AS VARCHAR)
 FROM raw_orders WHERE order_line_id % 97 = 5"""
 
 
+_SORTED_COLUMNS = ", ".join(
+    f"{c} NULLS FIRST"
+    for c in (
+        "order_line_id customer_id product_id warehouse_id order_date ship_date delivery_date"
+        " quantity unit_price discount_pct total_amount order_status shipping_cost"
+    ).split()
+)
+
+
+def _numbered(columns: str, where: str = "") -> str:
+    """Orders in three waves of copies, numbered one wave after the other."""
+    first = _VIEWS["deduped"][1]
+    order = first[first.index("ORDER BY") : first.index(") AS rn")].removeprefix("ORDER BY")
+    return with_views(
+        f"""
+SELECT {columns}, message_number FROM (
+  SELECT *, row_number() OVER (ORDER BY wave, {_SORTED_COLUMNS}) AS message_number FROM (
+    SELECT *, LEAST(row_number() OVER (
+      PARTITION BY order_line_id ORDER BY {order},
+        customer_id NULLS FIRST, order_date NULLS FIRST, ship_date NULLS FIRST,
+        delivery_date NULLS FIRST), 3) AS wave
+    FROM raw_orders) sent) numbered
+{where}""",
+        "raw_orders",
+    )
+
+
+_ANOMALY_COUNTS = f"""
+SELECT segment, CAST(n AS BIGINT) AS row_count,
+       {_round("n * CAST(100 AS DOUBLE) / total")} AS share_pct
+FROM (
+  SELECT total, unnest([1, 0]) AS segment,
+         unnest([total - 1 - floor((total - 1) * 0.95), floor((total - 1) * 0.95) + 1]) AS n
+  FROM (SELECT COUNT(*) AS total FROM raw_orders) rows)"""
+
+
 def _stored(sql: dict[str, str]) -> dict[str, str]:
     """What the jobs store equals what the operators return."""
     wide = """product_name || ' 6" wide, "best"' || chr(10) || 'second line, "' AS product_name"""
@@ -511,9 +547,8 @@ GROUP BY c.customer_id""",
             "stg_orders",
         ),
         "stored_model": with_views(
-            "SELECT COUNT(DISTINCT customer_id) AS scored, CAST(0 AS BIGINT) AS changed"
-            " FROM raw_orders",
-            "raw_orders",
+            "SELECT COUNT(*) AS scored, CAST(0 AS BIGINT) AS changed FROM churn_features",
+            "churn_features",
         ),
         "etl_fact_orders": sql["clean_orders"],
         "etl_dim_customers": sql["clean_customers"],
@@ -525,6 +560,12 @@ GROUP BY c.customer_id""",
         "medallion_gold_from_silver": sql["monthly_sales_from_silver"],
         "marts_customer_summary": sql["customer_summary"],
         "export_executive_overview": sql["executive_overview"],
+        "export_customer_analytics": sql["customer_analytics"],
+        "export_demand_forecast": sql["forecast_report"],
+        "export_inventory_status": sql["inventory_status"],
+        "export_anomaly_orders": _orders("raw_orders", "WHERE quantity > 45"),
+        "published_fact_orders": sql["clean_orders"],
+        "published_audit": sql["cleaning_report"],
         "load_churn_scores": with_views(
             """
 SELECT customer_id, churn_probability, risk_segment, scored_date FROM rule_scores
@@ -546,11 +587,11 @@ WHERE substring(md5(CAST(brand_id AS VARCHAR) || '|' || CAST(region_id AS VARCHA
         ),
         "churn_score_contract": with_views(
             """
-SELECT COUNT(DISTINCT customer_id) AS scored, COUNT(DISTINCT customer_id) AS customers,
+SELECT COUNT(*) AS scored, COUNT(DISTINCT customer_id) AS customers,
        CAST(0 AS BIGINT) AS not_probabilities, CAST(0 AS BIGINT) AS in_another_bin,
        DATE '2001-08-02' AS scored_date
-FROM raw_orders""",
-            "raw_orders",
+FROM churn_features""",
+            "churn_features",
         ),
     }
 
@@ -782,6 +823,13 @@ FROM raw_orders""",
         "order_stream_clean": _orders("passed"),
         "order_stream_quarantine": _orders("deduped", "WHERE customer_id IS NULL"),
     }
+    sql["order_stream_numbered"] = _numbered(_ORDER_COLUMNS)
+    sql["order_stream_first_n"] = _numbered(
+        f"""{_ORDER_COLUMNS}, CASE WHEN message_number <= 20 THEN 0
+  WHEN message_number <= 500 THEN 1 ELSE 2 END AS run""",
+        "WHERE message_number <= 1200",
+    )
+    sql["anomaly_counts"] = with_views(_ANOMALY_COUNTS, "raw_orders")
     sql["order_stream_rejects"] = with_views(_REJECTS, "raw_orders")
     sql |= _stored(sql)
     for name in FROM_CLEAN:

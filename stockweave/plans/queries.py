@@ -28,6 +28,7 @@ from stockweave.operators import (
 from stockweave.plans import fixtures as fx
 from stockweave.schemas import ORDERS
 from stockweave.sources.feeds import read_order_stream, write_messages
+from stockweave.streaming import numbering
 from stockweave.streaming import orders as feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -587,6 +588,32 @@ def order_stream_rejects(spark, sf_dir):
     return spark.read.parquet(_loaded(spark, sf_dir)["rejects"]).drop("batch")
 
 
+def _readable_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feed.readable(_raw_feed(spark, sf_dir))
+
+
+@query
+def order_stream_numbered(spark, sf_dir):
+    """Numbers over three batches; orders of a batch are numbered by their columns."""
+    out = scratch_path(spark, "numbered")
+    numbering.number_stream(
+        _readable_waves(spark, sf_dir), out, scratch_path(spark, "offsets"), ORDERS.names
+    )
+    return numbering.numbered_messages(spark, out)
+
+
+@query
+def order_stream_first_n(spark, sf_dir):
+    """The first 20 messages, and what two further runs take from where the last one stopped."""
+    out, offsets = scratch_path(spark, "taken"), scratch_path(spark, "offsets")
+    stream = _readable_waves(spark, sf_dir)
+    runs = [
+        numbering.consume_first(stream, n, out, offsets, ORDERS.names).withColumn("run", F.lit(k))
+        for k, n in enumerate((20, 480, 700))
+    ]
+    return runs[0].unionByName(runs[1]).unionByName(runs[2])
+
+
 # ---- models
 
 

@@ -6,6 +6,8 @@ it would in production, and the stored table is read back.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +20,13 @@ from stockweave.operators import cleaning, demand, reports, segments
 from stockweave.plans import fixtures as fx
 from stockweave.plans import jobs
 from stockweave.plans.queries import AS_OF, FIRST, query, rule_scores
-from stockweave.sources.sinks import Warehouse, save_model, write_csv, write_layer
+from stockweave.sources.sinks import (
+    PublishedWarehouse,
+    Warehouse,
+    save_model,
+    write_csv,
+    write_layer,
+)
 from stockweave.sources.tables import CSV, conform, read_if_exists, read_table, read_tables
 
 _TABLES = {
@@ -104,18 +112,19 @@ def named_views(spark, sf_dir):
 @query
 def stored_model(spark, sf_dir):
     """A model scores the same after it was saved and loaded."""
-    known = fx.raw_orders(spark, sf_dir).filter(F.col("customer_id").isNotNull())
-    features = segments.churn_features(known, AS_OF)
-    model = churn.churn_scores(features, AS_OF, num_trees=3, max_depth=3)[0]
+    features = segments.churn_features(fx.raw_orders(spark, sf_dir), AS_OF)
+    model = churn.churn_scores(features, AS_OF)[0]
     path = scratch_path(spark, "model")
     save_model(model, path)
     ready = churn.complete_features(features)[0]
     before = churn.score_churn(model, ready, AS_OF)
-    after = churn.score_churn(PipelineModel.load(path), ready, AS_OF)
-    pairs = before.join(after.withColumnRenamed("churn_probability", "again"), "customer_id")
+    after = churn.score_churn(PipelineModel.load(path), ready, AS_OF).select(
+        F.col("customer_id").alias("same"), F.col("churn_probability").alias("again")
+    )
+    pairs = before.join(after, F.col("customer_id").eqNullSafe(F.col("same")))
     return pairs.agg(
         F.count("*").alias("scored"),
-        F.count_if(F.col("churn_probability") != F.col("again")).alias("changed"),
+        F.count_if(~F.col("churn_probability").eqNullSafe(F.col("again"))).alias("changed"),
     )
 
 
@@ -212,6 +221,57 @@ def export_executive_overview(spark, sf_dir):
     return spark.read.schema(same.schema).options(**CSV).csv(f"{out}/executive_overview")
 
 
+def _extract(spark: SparkSession, out: str, name: str, same: DataFrame) -> DataFrame:
+    return spark.read.schema(same.schema).options(**CSV).csv(f"{out}/{name}")
+
+
+@query
+def export_customer_analytics(spark, sf_dir):
+    tables, out = _extracts(spark, sf_dir)
+    same = reports.customer_analytics(tables["dim_customers"], rule_scores(spark, sf_dir))
+    return _extract(spark, out, "customer_analytics", same)
+
+
+@query
+def export_demand_forecast(spark, sf_dir):
+    out = _extracts(spark, sf_dir)[1]
+    return read_table(spark, "demand_forecast", f"{out}/demand_forecast")
+
+
+@query
+def export_inventory_status(spark, sf_dir):
+    tables, out = _extracts(spark, sf_dir)
+    same = reports.inventory_report(
+        tables["fact_inventory"], tables["dim_products"], tables["dim_warehouses"]
+    )
+    return _extract(spark, out, "inventory_status", same)
+
+
+@query
+def export_anomaly_orders(spark, sf_dir):
+    tables, out = _extracts(spark, sf_dir)
+    return _extract(spark, out, "anomaly_orders", tables["fact_orders"])
+
+
+def _published_star(spark: SparkSession, sf_dir: str) -> str:
+    """The database whose views a load has published."""
+    name = f"star_{uuid.uuid4().hex}"
+    target = PublishedWarehouse(location=scratch_path(spark, "published"), database=name)
+    raw = {n: t(spark, sf_dir) for n, t in _TABLES.items()}
+    jobs.run_etl(raw, target, scratch_path(spark, "quarantine"), FIRST)
+    return name
+
+
+@query
+def published_fact_orders(spark, sf_dir):
+    return spark.table(f"{_published_star(spark, sf_dir)}.fact_orders")
+
+
+@query
+def published_audit(spark, sf_dir):
+    return spark.table(f"{_published_star(spark, sf_dir)}.cleaning_audit")
+
+
 @query
 def load_churn_scores(spark, sf_dir):
     """Scores of an extract, loaded into the warehouse: rows without a score are left out."""
@@ -247,17 +307,15 @@ def publish_raw_orders(spark, sf_dir):
 def demand_forecast_rows(spark, sf_dir):
     """Which cells are forecast, for which month, by which model."""
     features = demand.demand_features(fx.demand_orders(spark, sf_dir), fx.DEMAND_KEYS)
-    made = boosted.demand_forecast(features, fx.DEMAND_KEYS, max_iter=2)[1]
+    made = boosted.demand_forecast(features, fx.DEMAND_KEYS)[1]
     return made.drop("predicted_demand")
 
 
 @query
 def churn_score_contract(spark, sf_dir):
     """One score for each customer, a probability, in the segment of its bin."""
-    known = fx.raw_orders(spark, sf_dir).filter(F.col("customer_id").isNotNull())
-    scores = churn.churn_scores(
-        segments.churn_features(known, AS_OF), AS_OF, num_trees=10, max_depth=4
-    )[1]
+    features = segments.churn_features(fx.raw_orders(spark, sf_dir), AS_OF)
+    scores = churn.churn_scores(features, AS_OF)[1]
     p = F.col("churn_probability")
     near = F.least(*[F.abs(p - F.lit(edge).cast("double")) for edge in (0.3, 0.6, 1.0)]) < 0.0001
     right = near | F.col("risk_segment").eqNullSafe(risk_segment(p.cast("double")))

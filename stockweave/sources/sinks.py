@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.ml.util import MLWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockweave.operators.segments import churn_score_rows
@@ -81,6 +83,41 @@ class Warehouse:
         self.replace(df.limit(0), table)
 
 
+@dataclass
+class PublishedWarehouse(Warehouse):
+    """Tables that readers know by view names, `database`.name, over files under `location`.
+
+    Every load writes files of its own; the views are pointed to them when all tables of a load
+    are written. A load that fails changes nothing that readers see, and its files are
+    never pointed to. Files of earlier loads stay for readers that began with them.
+    """
+
+    database: str = "default"
+    pending: dict[str, str] = field(default_factory=dict)
+
+    def replace(self, df: DataFrame, table: str) -> None:
+        path = f"{self.location}/{table}/load-{uuid.uuid4().hex}"
+        df.write.mode("errorifexists").format(self.fmt).options(**self.options).save(path)
+        self.pending[table] = path
+
+    def clear(self, df: DataFrame, table: str) -> None:
+        """Nothing to empty: the tables readers see are replaced as a whole."""
+
+    def publish(self, spark: SparkSession) -> None:
+        """Point the views to what was written since the last time."""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`")
+        for table, path in self.pending.items():
+            spark.sql(
+                f"CREATE OR REPLACE VIEW `{self.database}`.`{table}`"
+                f" AS SELECT * FROM {self.fmt}.`{path}`"
+            )
+        self.pending.clear()
+
+    def discard(self) -> None:
+        """Forget what a failed load wrote."""
+        self.pending.clear()
+
+
 def full_refresh(df: DataFrame, table: str, warehouse: Warehouse) -> None:
     """Replace all rows of a table; nulls are kept."""
     declared = TABLES.get(table)
@@ -101,6 +138,20 @@ def refresh_star_schema(tables: Mapping[str, DataFrame], warehouse: Warehouse) -
             full_refresh(tables[name], name, warehouse)
 
 
+@contextmanager
+def published(warehouse: Warehouse, spark: SparkSession) -> Iterator[Warehouse]:
+    """A load whose tables become visible together at its end, or not at all if it fails,
+    where the warehouse can do that."""
+    try:
+        yield warehouse
+    except BaseException:
+        if isinstance(warehouse, PublishedWarehouse):
+            warehouse.discard()
+        raise
+    if isinstance(warehouse, PublishedWarehouse):
+        warehouse.publish(spark)
+
+
 def write_scores(
     scored: DataFrame, probability, warehouse: Warehouse, as_of: dt.date | None = None
 ) -> None:
