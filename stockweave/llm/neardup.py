@@ -15,9 +15,9 @@ that are in different classes is left out. A pair
 with similarity 0.8 shares no bucket with probability (1 - 0.8^ROWS)^BANDS, 2e-4.
 
 Texts without words, null or empty, are classes of their own. A class is named by its smallest
-doc_id, which is also its representative; rows repeating a doc_id are copies or near-copies of
-each other or not like any other rows. Rows without doc_id take part and never represent a
-class that has one. An empty table gives an empty result.
+doc_id, which is also its representative. Rows that agree in doc_id and text are one document; rows
+that share a doc_id only are several, in classes by their texts. Rows without doc_id take part and
+never represent a class that has one. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,12 +29,21 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stockweave.durable import durable
-from stockweave.llm.common import arrow_map, as_signed, mix, slices, span_hashes, utf8, word_spans
+from stockweave.llm.common import (
+    Scratch,
+    arrow_map,
+    as_signed,
+    mix,
+    slices,
+    span_hashes,
+    utf8,
+    word_spans,
+)
 from stockweave.llm.components import components
 
 WORDS = 5
@@ -53,15 +62,18 @@ _U = np.uint64
 _MULTIPLIERS = mix(np.arange(1, BANDS * ROWS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
 
 
-def features(column: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, 32-bit window, count) of the distinct windows, by text, then window."""
+def features(
+    column: pa.Array, words: int = WORDS, which: int = 0
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, 64-bit window, count) of the distinct windows, by text, then window.
+    `which` (0 or 1) picks one of two hash functions."""
     raw, borders = utf8(pc.utf8_lower(column))
     starts, ends, owner = word_spans(raw, borders)
     n = len(starts)
     if not n:
         empty = np.zeros(0, dtype=np.int64)
         return empty, empty.astype(_U), empty
-    hashes = span_hashes(raw, starts, ends)
+    hashes = span_hashes(raw, starts, ends, which)
     total = np.zeros(n, dtype=_U)
     whole = np.ones(n, dtype=bool)
     for j in range(words):
@@ -72,12 +84,14 @@ def features(column: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarr
         whole &= same
     first = np.ones(n, dtype=bool)
     first[1:] = owner[1:] != owner[:-1]
-    keep = whole | (first & ~whole)  # the first window of a short text is all of it
-    key = np.sort((owner[keep].astype(_U) << _U(32)) | (mix(total[keep]) >> _U(32)))
-    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    counts = np.diff(np.concatenate([at, [len(key)]]))
-    key = key[at]
-    return (key >> _U(32)).astype(np.int64), key & _U(0xFFFFFFFF), counts
+    keep = whole | first  # the first window of a short text is all of it
+    owner, total = owner[keep], mix(total[keep])
+    order = np.lexsort((total, owner))
+    owner, total = owner[order], total[order]
+    new = np.ones(len(owner), dtype=bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (total[1:] != total[:-1])
+    at = np.flatnonzero(new)
+    return owner[at], total[at], np.diff(np.append(at, len(owner)))
 
 
 def _counters(windows: np.ndarray) -> list[np.ndarray]:
@@ -200,21 +214,22 @@ def band_hashes(
             at = np.flatnonzero(log_a == np.repeat(least, sizes))[::-1]
             chosen = np.empty(len(first), dtype=np.int64)
             chosen[number[at]] = at  # of equals, the first
-            sample = windows[chosen] << _U(32) | t[chosen].astype(np.int32).view(np.uint32)
-            code = mix(code + mix(sample))
+            step = t[chosen].astype(np.int32).view(np.uint32).astype(_U)
+            code = mix(code + mix(windows[chosen] + step * _U(0xD6E8FEB86659FD93)))
         out[:, band] = code
     return out
 
 
 def _packed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(key, doc_id, text): the key names a row's document even where doc_id is null."""
+    """(key, doc_id, text)"""
     value = F.coalesce(docs[text], F.lit(""))
     number = docs[doc_id].cast("long")
-    return docs.select(
-        F.coalesce(number.cast("string"), F.concat(F.lit("null "), F.md5(value))).alias("key"),
-        number.alias("doc_id"),
-        value.alias("text"),
-    )
+    return docs.select(_key(number, value).alias("key"), number.alias("doc_id"), value.alias("text"))
+
+
+def _key(number: Column, value: Column) -> Column:
+    """Rows are one document if they agree in doc_id, null or not, and text."""
+    return F.concat_ws(" ", F.coalesce(number.cast("string"), F.lit("null")), F.md5(value))
 
 
 def _sketches(rows: DataFrame, idf, words: int, bands: int, per_band: int) -> DataFrame:
@@ -229,7 +244,7 @@ def _sketches(rows: DataFrame, idf, words: int, bands: int, per_band: int) -> Da
         total = np.zeros(n)
         if len(owner):
             first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-            names = _content_hashes(windows, counts, first)
+            names = _content_hashes(batch.column("text"), words, (owner, windows, counts))
             weight = weights(windows, counts, idf.value)
             hashes = as_signed(band_hashes(owner, windows, weight, bands, per_band))
             total[owner[first]] = np.add.reduceat(weight.astype(np.float64), first)
@@ -251,30 +266,28 @@ def _sketches(rows: DataFrame, idf, words: int, bands: int, per_band: int) -> Da
     return arrow_map(rows, sketch, schema)
 
 
-def _content_hashes(windows: np.ndarray, counts: np.ndarray, first: np.ndarray) -> list[bytes]:
-    """128 bits for each multiset; `first` has where they begin."""
-    content = (windows << _U(32)) | counts.astype(_U)
-    both = [mix(np.add.reduceat(mix(content + _U(salt)), first)) for salt in (0x51ED, 0xA3B1)]
-    return [row.tobytes() for row in np.stack(both, axis=1)]
+def _content_hashes(
+    texts: pa.Array, words: int, found: tuple[np.ndarray, np.ndarray, np.ndarray]
+) -> list[bytes]:
+    """128 bits for the multiset of each text that has words: its windows hashed in two ways."""
+    halves = []
+    for owner, windows, counts in (found, features(texts, words, 1)):
+        first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+        halves.append(mix(np.add.reduceat(mix(windows + mix(counts.astype(_U))), first)))
+    return [row.tobytes() for row in np.stack(halves, axis=1)]
 
 
 def _sets(rows: DataFrame, words: int) -> DataFrame:
-    """(node, windows, counts) as little-endian 32-bit numbers, sorted by window.
-
-    Where several texts have the key of a node, only those with its content make sets.
-    """
+    """(node, windows, counts) as little-endian 64-bit and 32-bit numbers, sorted by window."""
 
     def build(batch: pa.RecordBatch) -> pa.RecordBatch:
         owner, windows, counts = features(batch.column("text"), words)
-        cuts = np.searchsorted(owner, np.arange(batch.num_rows + 1))
-        w, c = windows.astype("<u4"), counts.astype("<u4")
-        names = _content_hashes(windows, counts, cuts[:-1]) if len(owner) else []
-        wanted = batch.column("node").to_pylist()
-        same = [k for k, (a, b) in enumerate(zip(names, wanted, strict=True)) if a == b]
-        spans = [(int(cuts[k]), int(cuts[k + 1])) for k in same]
+        cuts = np.searchsorted(owner, np.arange(batch.num_rows + 1)).tolist()
+        w, c = windows.astype("<u8"), counts.astype("<u4")
+        spans = list(zip(cuts[:-1], cuts[1:], strict=True))
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([wanted[k] for k in same], pa.binary()),
+                batch.column("node"),
                 pa.array([w[a:b].tobytes() for a, b in spans], pa.binary()),
                 pa.array([c[a:b].tobytes() for a, b in spans], pa.binary()),
             ],
@@ -305,17 +318,19 @@ def _verified(pairs: DataFrame, sets: DataFrame, idf, threshold: float) -> DataF
     )
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def numbers(value: pa.Scalar) -> np.ndarray:
-            return np.frombuffer(value.as_buffer(), dtype="<u4")
+        def numbers(value: pa.Scalar, kind: str) -> np.ndarray:
+            return np.frombuffer(value.as_buffer(), dtype=kind)
 
         for batch in batches:
             good = []
             for k in range(batch.num_rows):
-                a, b = (
-                    tuple(numbers(batch.column(c)[k]) for c in names)
-                    for names in (("uw", "uc"), ("vw", "vc"))
-                )
-                sides = [(w.astype(_U), c.astype(np.int64)) for w, c in (a, b)]
+                sides = [
+                    (
+                        numbers(batch.column(w)[k], "<u8").astype(_U),
+                        numbers(batch.column(c)[k], "<u4").astype(np.int64),
+                    )
+                    for w, c in (("uw", "uc"), ("vw", "vc"))
+                ]
                 good.append(similarity(*sides, idf.value) >= threshold)
             yield batch.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
 
@@ -343,7 +358,7 @@ def linked_groups(
     at = np.repeat(np.arange(len(windows)), counts)
     copy = np.arange(len(at)) - np.repeat(np.cumsum(counts) - counts, counts)
     features, column, times = np.unique(
-        (windows[at] << _U(32)) | copy.astype(_U), return_inverse=True, return_counts=True
+        mix(windows[at] + mix(copy.astype(_U))), return_inverse=True, return_counts=True
     )
     keep = times[column] > 1
     order = np.argsort(column[keep], kind="stable")
@@ -389,7 +404,7 @@ def _block_links(open_: DataFrame, sets: DataFrame, idf, threshold: float) -> Da
         node, label, block = (group.column(c).to_pylist() for c in ("node", "label", "block"))
         found = [
             (
-                np.frombuffer(w.as_buffer(), dtype="<u4").astype(_U),
+                np.frombuffer(w.as_buffer(), dtype="<u8").astype(_U),
                 np.frombuffer(c.as_buffer(), dtype="<u4").astype(np.int64),
             )
             for w, c in zip(group.column("windows"), group.column("counts"), strict=True)
@@ -412,7 +427,12 @@ def _block_links(open_: DataFrame, sets: DataFrame, idf, threshold: float) -> Da
 
 
 def _linked_labels(
-    members: DataFrame, wanted: DataFrame, sets: DataFrame, idf, threshold: float
+    members: DataFrame,
+    wanted: DataFrame,
+    sets: DataFrame,
+    idf,
+    threshold: float,
+    scratch: Scratch,
 ) -> DataFrame:
     """(node, label) of the nodes that share a bucket: components of the links among them.
 
@@ -424,7 +444,7 @@ def _linked_labels(
 
     def labelled_by(links: DataFrame) -> DataFrame:
         joined = wanted.join(components(links), "node", "left")
-        return durable(joined.withColumn("label", F.coalesce("label", "node")), "labels")
+        return scratch.store(joined.withColumn("label", F.coalesce("label", "node")), "labels")
 
     rows = members.join(wanted, "node")
     leader = F.max_by(F.struct("node", "weight"), F.struct("degree", "node")).alias("leader")
@@ -436,9 +456,9 @@ def _linked_labels(
         .select(F.col("leader.node").alias("u"), F.col("node").alias("v"))
         .distinct()
     )
-    links = durable(_verified(pairs, sets, idf, threshold), "links")
+    links = scratch.store(_verified(pairs, sets, idf, threshold), "links")
     labels = labelled_by(links)
-    labelled = durable(
+    labelled = scratch.store(
         members.join(labels.select("node", "label"), "node"), "labelled"
     )
     mixed = (
@@ -452,7 +472,7 @@ def _linked_labels(
         .select("bucket", "band", "n")
     )
     open_ = labelled.join(mixed, ["bucket", "band"])
-    more = durable(_block_links(open_, sets, idf, threshold), "more-links")
+    more = scratch.store(_block_links(open_, sets, idf, threshold), "more-links")
     return labelled_by(links.unionAll(more)).select("node", "label")
 
 
@@ -473,48 +493,49 @@ def near_duplicates(
     sketch = document_frequencies(named, words)
     documents = named.count()
     idf = spark.sparkContext.broadcast(damped_idf(sketch, documents))
-    sketched = durable(_sketches(named, idf, words, bands, rows), "sketches")
-
-    nodes = durable(
-        sketched.filter("node IS NOT NULL")
-        .groupBy("node")
-        .agg(
-            F.min("key").alias("key"),
-            F.any_value("weight").alias("weight"),
-            F.any_value("bands").alias("bands"),
-        ),
-        "nodes",
-    )
-    buckets = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
-    shared = buckets.groupBy("bucket", "band").agg(F.count("*").alias("n")).filter("n > 1")
-    members = durable(buckets.join(shared, ["bucket", "band"]), "members")
-    # a node that is like many others meets them in large buckets
-    wanted = durable(
-        members.groupBy("node")
-        .agg(F.sum("n").alias("degree"))
-        .join(nodes.select("node", "key", "weight"), "node"),
-        "wanted",
-    )
-    sets = durable(
-        _sets(
-            named.select("key", "text")
-            .join(wanted.select("key", "node"), "key")
-            .select("node", "text"),
-            words,
-        ).dropDuplicates(["node"]),
-        "sets",
-    )
-    labels = _linked_labels(
-        members.select("bucket", "band", "node"), wanted, sets, idf, threshold
-    )
-    classes = sketched.select("key", "doc_id", "node").join(labels, "node", "left")
-    # A text without words is a class of its own document; copies share their node.
-    classes = durable(
-        classes.select(
-            "key", "doc_id", F.coalesce("label", "node", F.encode("key", "UTF-8")).alias("label")
-        ),
-        "classes",
-    )
+    with Scratch(spark) as scratch:
+        sketched = scratch.store(_sketches(named, idf, words, bands, rows), "sketches")
+
+        nodes = scratch.store(
+            sketched.filter("node IS NOT NULL")
+            .groupBy("node")
+            .agg(
+                F.min("key").alias("key"),
+                F.any_value("weight").alias("weight"),
+                F.any_value("bands").alias("bands"),
+            ),
+            "nodes",
+        )
+        buckets = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
+        shared = buckets.groupBy("bucket", "band").agg(F.count("*").alias("n")).filter("n > 1")
+        members = scratch.store(buckets.join(shared, ["bucket", "band"]), "members")
+        # a node that is like many others meets them in large buckets
+        wanted = scratch.store(
+            members.groupBy("node")
+            .agg(F.sum("n").alias("degree"))
+            .join(nodes.select("node", "key", "weight"), "node"),
+            "wanted",
+        )
+        sets = scratch.store(
+            _sets(
+                named.select("key", "text")
+                .join(wanted.select("key", "node"), "key")
+                .select("node", "text"),
+                words,
+            ).dropDuplicates(["node"]),
+            "sets",
+        )
+        labels = _linked_labels(
+            members.select("bucket", "band", "node"), wanted, sets, idf, threshold, scratch
+        )
+        classes = sketched.select("key", "doc_id", "node").join(labels, "node", "left")
+        # A text without words is a class of its own document; copies share their node.
+        classes = durable(
+            classes.select(
+                "key", "doc_id", F.coalesce("label", "node", F.encode("key", "UTF-8")).alias("label")
+            ),
+            "classes",
+        )
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
     named_classes = classes.groupBy("label").agg(best.alias("best"), F.count("*").alias("class_size"))
     return classes.join(named_classes, "label").select(
@@ -535,12 +556,11 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .distinct()
     )
     value = F.coalesce(docs[text], F.lit(""))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        F.coalesce(
-            docs[doc_id].cast("long").cast("string"), F.concat(F.lit("null "), F.md5(value))
-        ).alias("key"),
-        F.xxhash64(value).alias("content"),
+        row.alias("row"),
+        _key(docs[doc_id].cast("long"), value).alias("key"),
+        F.xxhash64(row).alias("content"),
     )
     first = W.partitionBy("key").orderBy("content")
     return (

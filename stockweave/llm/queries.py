@@ -110,17 +110,18 @@ def op9_segment_topk(spark, sf_dir):
 
 _SQL["op9_segment_topk"] = r"""
 WITH whole AS (
-  SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  SELECT row_number() OVER () AS nr, vec_id,
+         [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
   FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0
-    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+  WHERE len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.nr, q.vec_id AS query_id, c.nr AS row, c.vec_id,
          CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
-  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  FROM whole q JOIN whole c ON q.nr <> c.nr AND len(q.v) = len(c.v)
   WHERE q.vec_id % 20 = 0
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place
+  SELECT *, row_number() OVER (
+    PARTITION BY nr ORDER BY score DESC, vec_id NULLS LAST, row) AS place
   FROM scored
 )
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20

@@ -1,5 +1,6 @@
 import hashlib
 import itertools
+import math
 import random
 
 import numpy as np
@@ -195,6 +196,29 @@ def test_samples_agree_as_often_as_texts_are_similar():
     assert abs((hashes[0] == hashes[1]).mean() - 0.6) < 0.25
 
 
+def test_texts_that_share_a_doc_id_are_documents_of_their_own(docs_of):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a), (1, b), (2, c), (3, b), (1, a)]
+    got = neardup.near_duplicates(docs_of(rows)).collect()
+    assert sorted((r["doc_id"], r["class_id"], r["class_size"]) for r in got) == [
+        (1, 1, 2), (1, 1, 2), (1, 1, 2), (2, 2, 1), (3, 1, 2),
+    ]
+    kept = neardup.representatives(docs_of(rows))
+    assert sorted((r["doc_id"], r["text"][0]) for r in kept.collect()) == [
+        (1, "a"), (1, "b"), (2, "c"),
+    ]
+
+
+def test_short_texts_have_windows_of_their_own():
+    rng = np.random.default_rng(4)
+    words = rng.integers(0, 3000, (300_000, 5))
+    words = np.unique(words, axis=0)
+    column = pa.array([" ".join(map(str, row)) for row in words.tolist()])
+    found = neardup.features(column)
+    assert len(np.unique(found[1])) == len(words)
+    assert len(set(neardup._content_hashes(column, neardup.WORDS, found))) == len(words)
+
+
 def test_representatives_edges(docs_of):
     rows = docs_of([(1, None), (2, ""), (3, "a b c d e f"), (3, "a b c d e f"), (None, "a b c d e f"), (None, "z")])
     got = neardup.near_duplicates(rows).collect()
@@ -239,29 +263,42 @@ def test_bounds_hold():
         assert (above >= x @ x.T - 1e-6).all()
 
 
+def plain_top_k(rows, k=20):
+    """(query_id, rank, vec_id, score) with every row of `rows` (vec_id, vector) as a query."""
+    out = []
+    for i, (query, q) in enumerate(rows):
+        found = []
+        for j, (name, x) in enumerate(rows):
+            if i != j and len(q) == len(x):
+                score = sum(math.floor(64 * a) * math.floor(64 * b) for a, b in zip(q, x))
+                found.append((-max(-(2**63), min(2**63 - 1, score)), name is None, name or 0))
+        found.sort()
+        out += [(query, n, None if none else name, -score)
+                for n, (score, none, name) in enumerate(found[:k], 1)]
+    return sorted(out, key=str)
+
+
 def test_top_k_edges(spark):
-    rows = [
-        (0, [1.0, 2.0], None),
-        (0, [1.0, 2.0], "again"),
-        (1, [1.0, 2.0], None),
-        (2, None, None),
-        (3, [1.0, None], None),
-        (4, [float("nan"), 1.0], None),
-        (5, [float("inf"), 1.0], None),
-        (6, [], None),
-        (None, [1.0, 2.0], None),
-        (7, [3.0, 1.0, 1.0], None),
-        (8, [-0.5, 0.01], None),
+    good = [
+        (0, [1.0, 2.0]),
+        (0, [1.0, 2.0]),
+        (1, [1.0, 2.0]),
+        (2, [5.0, 0.5]),
+        (2, [4.0, 0.25]),
+        (None, [1.0, 2.5]),
+        (7, [3.0, 1.0, 1.0]),
+        (8, [-0.5, 0.01]),
+        (9, [2.0**41, 0.0]),
+        (10, [0.0, 2.0**41]),
+        (11, [-(2.0**100), 1.0]),
+        ((1 << 63) - 1, [0.125, 0.125]),
     ]
-    whole = topk.whole_vectors(vectors(spark, rows))
-    got = topk.top_k(whole, whole).orderBy("query_id", "rank").collect()
-    assert [tuple(r) for r in got] == [
-        (0, 1, 1, 20480),
-        (0, 2, 8, -2048),
-        (1, 1, 0, 20480),
-        (1, 2, 8, -2048),
-        (8, 1, 0, -2048),
-        (8, 2, 1, -2048),
+    bad = [
+        (12, None), (13, [1.0, None]), (14, [float("nan"), 1.0]), (15, [float("inf"), 1.0]), (16, []),
     ]
+    whole = topk.whole_vectors(vectors(spark, [(i, v, "x") for i, v in good + bad]))
+    for k, size in ((20, 16384), (3, 2)):
+        got = topk.top_k(whole, whole, k, query_block=size, candidate_block=size)
+        assert sorted(map(tuple, got.collect()), key=str) == plain_top_k(good, k)
     none = whole.filter("vec_id < 0")
     assert topk.top_k(none, none).count() == 0
