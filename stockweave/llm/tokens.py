@@ -1,8 +1,10 @@
 """Token ids of whole texts, by the tokenizers library.
 
 A tokenizer that splits text before merging gives a word the same ids wherever it stands. So
-each worker encodes a word once and keeps its ids; texts whose white space could make a split
-depend on its surroundings are encoded as a whole. Both ways give the same ids.
+each worker encodes a word once and keeps its ids; a word of printable ASCII is put together
+from the pieces (letters, digits, punctuation) that the tokenizer would cut it into, of which there are
+far fewer. Texts whose white space could make a split depend on its surroundings, and those
+with the name of a special token, are encoded as a whole. All ways give the same ids.
 """
 
 from __future__ import annotations
@@ -16,6 +18,13 @@ import numpy as np
 KEPT_WORDS = 800_000  # a worker forgets its words when it has so many
 _JOINED = 4_000  # new words encoded at once
 
+# How the two kinds of vocabularies cut, as their files state it, and the same for
+# printable ASCII.
+_LETTERS_FIRST = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_LOWER_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+_BYTE_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ A-Za-z0-9]+")
+_PRINTABLE = re.compile(" ?[!-~]+")
+
 # White space other than space and line feed, in any common reading of the term.
 _RARE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
 
@@ -28,21 +37,29 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
         with open(path, encoding="utf-8") as f:
             kind = json.load(f)
+        # names without "<" would need a look at every text
+        names = [t["content"].lower() for t in kind.get("added_tokens", [])]
+        self.special = [n for n in names if "<" in n]
+        odd = len(self.special) < len(names)
         before = kind.get("pre_tokenizer") or {}
-        plain = kind.get("normalizer") is None
+        plain = kind.get("normalizer") is None and not odd
         self.words: dict[str, bytes] = {}
-        self.split = None
+        self.known_pieces: dict[str, bytes] = {}
+        self.split = self.pieces = None
+        self.lower = False
         if plain and before.get("type") == "ByteLevel" and before.get("use_regex"):
             if not before.get("add_prefix_space"):  # a word takes the space before it along
                 self.split, self.glue, self.spaced = re.compile("\n| ?[^ \n]+"), "\n", True
-        elif kind.get("normalizer", {}).get("type") == "Sequence" and any(
+                self.pieces = _BYTE_PIECES
+        elif not odd and (kind.get("normalizer") or {}).get("type") == "Sequence" and any(
             n.get("pattern") == {"Regex": "\\s+"} for n in kind["normalizer"]["normalizers"]
         ):  # white space only separates
             if [p.get("behavior") for p in before.get("pretokenizers", [])][:1] == ["Removed"]:
                 self.split, self.glue, self.spaced = re.compile("[^ \n]+"), " \x01 ", False
+                if before["pretokenizers"][0].get("pattern") == {"Regex": _LETTERS_FIRST}:
+                    self.pieces, self.lower = _LOWER_PIECES, True
         if self.split is not None:
             mark = self._whole(self.glue)
             self.mark = int(mark[0]) if len(mark) == 1 else None
@@ -53,10 +70,27 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     def _learn(self, new: list[str]) -> None:
-        """Encode words, many at once with a mark between them."""
         if len(self.words) + len(new) > KEPT_WORDS:
             self.words = {w: i for w, i in self.words.items() if w == "\n"}
+        if len(self.known_pieces) > KEPT_WORDS:
+            self.known_pieces = {}
+        whole, cut = [], []
+        for word in new:
+            if self.pieces is not None and _PRINTABLE.fullmatch(word):
+                cut.append((word, self.pieces.findall(word.lower() if self.lower else word)))
+            else:
+                whole.append(word)
+        known = self.known_pieces
+        fresh = list(dict.fromkeys(p for _, pieces in cut for p in pieces if p not in known))
+        known.update(zip(fresh, self._encode_many(fresh), strict=True))
+        for word, pieces in cut:
+            self.words[word] = b"".join([known[p] for p in pieces])
+        self.words.update(zip(whole, self._encode_many(whole), strict=True))
+
+    def _encode_many(self, new: list[str]) -> list[bytes]:
+        """Ids of words, many encoded at once with a mark between them."""
         sep = self.glue.strip(" ")
+        made: list[bytes] = []
         for at in range(0, len(new), _JOINED):
             some = new[at : at + _JOINED]
             joined = None
@@ -67,14 +101,15 @@ class Encoder:
                     raw, ends = ids.tobytes(), (cuts * 4).tolist()
                     starts = [0, *(e + 4 for e in ends)]
                     joined = [raw[a:b] for a, b in zip(starts, [*ends, len(raw)], strict=True)]
-            self.words.update(
-                zip(some, joined or [self._whole(w).tobytes() for w in some], strict=True)
-            )
+            made.extend(joined or [self._whole(w).tobytes() for w in some])
+        return made
 
     def _alone(self, text: str) -> bool:
         """Whether the words of `text` can't be encoded one by one."""
         if self.split is None:
             return True
+        if "<" in text and any(name in text.lower() for name in self.special):
+            return True
         if not self.spaced:
             return False
         return (

@@ -22,6 +22,9 @@ ODD = [
     "übergröße ÉCOLE naïve nbsp  em",
     "mark \x01 inside \x01\x01 and \x1c too",
     "<|endoftext|> in text <|startoftext|>",
+    "hello <|endoftext|> world",
+    "a<|endoftext|>b <|ENDOFTEXT|> and <b>bold</b> < 5",
+    "don't ''s 'S I'LL we'd've x's' ('tis) a.b,c;12,345.67%% ~!@ CamelCase9a",
     "CRLF\r\nlines\r\n",
     "日本語 text 12345 $$$ ...",
 ]
@@ -29,7 +32,6 @@ ODD = [
 
 def direct(path, text):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return t.encode(text, add_special_tokens=False).ids
 
 
@@ -37,7 +39,6 @@ def direct(path, text):
 def test_word_by_word_ids_equal_whole_text_ids(which, byte_vocabulary, word_vocabulary, monkeypatch):
     path = byte_vocabulary if which == "byte" else word_vocabulary
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     mine = Encoder(path)
     assert mine.split is not None
 
