@@ -50,6 +50,8 @@ BLOCK_GRAMS = 1 << 20  # n-grams and sets of a block at most, but for two sets i
 BLOCK_SETS = 2048
 COMMON = 8  # a chunk of larger candidates gets a further 1 / COMMON of sets common to all chunks
 BUCKET_GRAMS = 1 << 20  # n-grams counted at once
+BROADCAST_SETS = 1 << 21  # 64-bit hashes of texts that are sent to all tasks at most
+RANGE_SETS = 1 << 16  # sets whose counts are added up at once
 HELD_GRAMS = 1 << 21  # n-grams a task holds before it passes them on
 
 _U = np.uint64
@@ -206,13 +208,28 @@ def _packed(rows: DataFrame, words: int, buckets: int) -> DataFrame:
     )
 
 
-def _shared_counts(packed: DataFrame, buckets: int) -> DataFrame:
+def _shared_counts(packed: DataFrame, buckets: int, ranges: int) -> DataFrame:
     """(name, shared): how many n-grams of a set other sets have, at least; no set has less.
 
     Copies of a set in several tasks may have some counted twice, which only keeps a set for
-    the exact steps that follow.
+    the exact steps that follow. Counts travel packed too, by `ranges` of names.
     """
 
+    def parts_of(names: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
+        at = (mix(names) % _U(ranges)).astype(np.int64)
+        order = np.argsort(at, kind="stable")
+        at, names, total = at[order], names[order].astype("<u8"), total[order].astype("<u4")
+        edge = np.append(_starts(at), len(at)).tolist() if len(at) else [0]
+        spans = list(zip(edge[:-1], edge[1:], strict=True))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([int(at[a]) for a, _ in spans], pa.int32()),
+                pa.array([names[a:b].tobytes() for a, b in spans], pa.binary()),
+                pa.array([total[a:b].tobytes() for a, b in spans], pa.binary()),
+            ],
+            ["range", "names", "totals"],
+        )
+
     def count(parts: list[tuple[bytes, bytes, bytes]]) -> pa.RecordBatch:
         heads = np.concatenate([np.frombuffer(p[0], dtype="<u8") for p in parts])
         sizes = np.concatenate([np.frombuffer(p[1], dtype="<u4") for p in parts])
@@ -227,13 +244,7 @@ def _shared_counts(packed: DataFrame, buckets: int) -> DataFrame:
         shared = np.repeat((sets > 1) | flagged, sets) & (names[number] != _SHARED)
         total = np.bincount(number[shared], minlength=len(names))
         some = np.flatnonzero(total)
-        return _counted(names[some], total[some])
-
-    def _counted(names: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(names.astype(_U).view(np.int64)), pa.array(total.astype(np.int64))],
-            ["name", "shared"],
-        )
+        return parts_of(names[some].astype(_U), total[some])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[bytes, bytes, bytes]] = []
@@ -242,8 +253,9 @@ def _shared_counts(packed: DataFrame, buckets: int) -> DataFrame:
             columns = [batch.column(c).to_pylist() for c in ("bucket", "sets", "sizes", "grams")]
             for bucket, sets, sizes, gram in zip(*columns, strict=True):
                 if bucket == -1:
-                    yield _counted(
-                        np.frombuffer(sets, dtype="<u8"), np.frombuffer(sizes, dtype="<u4")
+                    yield parts_of(
+                        np.frombuffer(sets, dtype="<u8").astype(_U),
+                        np.frombuffer(sizes, dtype="<u4"),
                     )
                     continue
                 if bucket != now and held:
@@ -254,19 +266,46 @@ def _shared_counts(packed: DataFrame, buckets: int) -> DataFrame:
         if held:
             yield count(held)
 
+    def add(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        names, total = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.argsort(names)
+        names = names[order]
+        at = _starts(names)
+        return names[at], np.add.reduceat(total[order], at)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+        for batch in batches:
+            for names, total in zip(
+                batch.column("names").to_pylist(), batch.column("totals").to_pylist(), strict=True
+            ):
+                held.append(
+                    (np.frombuffer(names, "<u8"), np.frombuffer(total, "<u4").astype(np.int64))
+                )
+                size += len(held[-1][0])
+                if size > 2 * HELD_GRAMS:
+                    held = [add(held)]
+                    size = len(held[0][0]) // 2
+        if held:
+            names, total = add(held)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names.astype(_U).view(np.int64)), pa.array(total)], ["name", "shared"]
+            )
+
     # rows without a bucket, one a task, are spread
     place = F.when(F.col("bucket") < 0, F.xxhash64("sets") % buckets).otherwise(F.col("bucket"))
     return (
         packed.repartition(buckets, place)
         .sortWithinPartitions("bucket")
-        .mapInArrow(run, "name long, shared long")
-        .groupBy("name")
-        .agg(F.sum("shared").alias("shared"))
+        .mapInArrow(run, "range int, names binary, totals binary")
+        .repartition(ranges, "range")
+        .mapInArrow(sums, "name long, shared long")
     )
 
 
 def _sets(rows: DataFrame, words: int) -> DataFrame:
-    """(node, n, grams array<long>) of rows with the `node` they are wanted for."""
+    """(set, n, grams array<long>) of the rows of (set, text)."""
 
     def build(batch: pa.RecordBatch) -> pa.RecordBatch:
         owner, total = grams(batch.column("text"), words)
@@ -275,31 +314,32 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
         lists = [kept[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         return pa.RecordBatch.from_arrays(
             [
-                batch.column("node"),
+                batch.column("set"),
                 pa.array(np.diff(cuts), pa.int64()),
                 pa.array(lists, pa.list_(pa.int64())),
             ],
-            ["node", "n", "grams"],
+            ["set", "n", "grams"],
         )
 
-    return arrow_map(rows, build, "node binary, n long, grams array<long>")
+    return arrow_map(rows, build, "set binary, n long, grams array<long>")
 
 
 def _prefixes(sets: DataFrame) -> DataFrame:
-    """(gram, node, n): the n-grams by which a set is found, of those that two sets have."""
-    listed = sets.select("node", "n", F.explode("grams").alias("gram"))
+    """(gram, node): the n-grams by which a set is found, of those that two sets have."""
+    listed = sets.select("node", F.explode("grams").alias("gram"))
     counts = listed.groupBy("gram").agg(F.count("*").alias("sets")).filter("sets > 1")
     ordered = (
         listed.join(counts, "gram")
-        .groupBy("node", "n")
+        .groupBy("node")
         .agg(F.sort_array(F.collect_list(F.struct("sets", "gram"))).alias("shared"))
     )
     least = F.ceil(F.col("n") * NUMERATOR / DENOMINATOR)
     return (
-        ordered.withColumn("taken", (F.size("shared") - least + 1).cast("int"))
+        ordered.join(sets.select("node", "n"), "node")
+        .withColumn("taken", (F.size("shared") - least + 1).cast("int"))
         .filter(F.col("taken") > 0)
-        .select("node", "n", F.explode(F.slice("shared", 1, F.col("taken"))).alias("at"))
-        .select(F.col("at.gram").alias("gram"), "node", "n")
+        .select("node", F.explode(F.slice("shared", 1, F.col("taken"))).alias("at"))
+        .select(F.col("at.gram").alias("gram"), "node")
     )
 
 
@@ -430,7 +470,7 @@ def _joined(rows: DataFrame) -> DataFrame:
     """(u, v): links that connect the sets of each block; `rows` has (block, node, label, grams)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, tuple[bytes, np.ndarray]] = {}
+        held: dict[int, tuple[int, np.ndarray]] = {}
         now = None
 
         def links() -> Iterator[pa.RecordBatch]:
@@ -440,7 +480,7 @@ def _joined(rows: DataFrame) -> DataFrame:
             _, label = np.unique([held[x][0] for x in nodes], return_inverse=True)
             pairs = link([held[x][1] for x in nodes], label)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([nodes[p[k]] for p in pairs], pa.binary()) for k in (0, 1)], ["u", "v"]
+                [pa.array([nodes[p[k]] for p in pairs], pa.int64()) for k in (0, 1)], ["u", "v"]
             )
 
         for batch in batches:
@@ -450,13 +490,13 @@ def _joined(rows: DataFrame) -> DataFrame:
                 if block != now:
                     yield from links()
                     held, now = {}, block
-                held[node] = label.hex(), lists[i].values.to_numpy().view(_U)
+                held[node] = label, lists[i].values.to_numpy().view(_U)
         yield from links()
 
     return (
         rows.repartition("block")
         .sortWithinPartitions("block")
-        .mapInArrow(run, "u binary, v binary")
+        .mapInArrow(run, "u long, v long")
     )
 
 
@@ -474,13 +514,13 @@ def _every(count: Column) -> Column:
     return F.explode(F.sequence(F.lit(0), count - 1))
 
 
-def _block(*parts: Column) -> Column:
-    return F.concat_ws("-", *parts)
+def _block(*parts: str) -> Column:
+    return F.concat_ws("-", *(F.col(p).cast("string") for p in parts))
 
 
 def _links(
     sets: DataFrame, scratch: Scratch, block_grams: int, block_sets: int
-) -> DataFrame | None:
+) -> DataFrame:
     """(u, v): links that connect what all links among `sets` connect."""
     prefixes = scratch.store(_prefixes(sets), "prefixes")
     leaders = prefixes.groupBy("gram").agg(F.min("node").alias("u"), F.count("*").alias("sets"))
@@ -498,7 +538,7 @@ def _links(
     ).select("node", "part", _every(F.col("chunks")).alias("chunk"))
     dealt = placed.select("node", "part", _chunk(F.col("chunks"), 1).alias("chunk"))
     dealt = dealt.unionByName(common).distinct()
-    block = _block(F.hex("part"), F.col("chunk").cast("string"))
+    block = _block("part", "chunk")
     first = scratch.store(
         _joined(
             dealt.join(sets, "node").select(
@@ -515,6 +555,7 @@ def _links(
     label = components(first).withColumnRenamed("node", "of")
     members = (
         found.join(near, "node").join(large, "part")
+        .join(sets.select("node", "n"), "node")
         .join(label, F.col("node") == F.col("of"), "left")
         .select("gram", "node", "n", F.coalesce("label", "node").alias("label"))
     )
@@ -544,7 +585,7 @@ def _links(
             _every(F.col("chunks")).alias("j"),
         )
     )
-    block = _block(*(F.col(c).cast("string") for c in ("gram", "i", "j")))
+    block = _block("gram", "i", "j")
     second = _joined(
         across.distinct().join(sets.select("node", "grams"), "node").select(
             block.alias("block"), "node", "label", "grams"
@@ -584,30 +625,45 @@ def link_components(
     )
     with Scratch(spark) as scratch:
         nodes = scratch.store(nodes, "nodes")
-        total = nodes.agg(F.sum("n")).first()[0] or 0
-        buckets = max(1, math.ceil(total / BUCKET_GRAMS))
-        shared = _shared_counts(_packed(rows, words, buckets), buckets)
+        size = nodes.agg(F.sum("n").alias("n"), F.count("*").alias("sets")).first()
+        buckets = max(1, math.ceil((size["n"] or 0) / BUCKET_GRAMS))
+        ranges = max(1, math.ceil(size["sets"] / RANGE_SETS))
+        shared = _shared_counts(_packed(rows, words, buckets), buckets, ranges)
         least = F.ceil(F.col("n") * NUMERATOR / DENOMINATOR)
         wanted = scratch.store(
             nodes.join(shared, "name").filter(F.col("shared") >= least).select(
-                "node", F.col("row.doc_id").alias("of"), F.col("row.content").alias("at")
+                F.col("node").alias("set"), F.col("row.doc_id").alias("of"),
+                F.col("row.content").alias("at"),
             ),
             "wanted",
         )
+        # few texts are wanted as a rule; where their hashes fit, no other text is moved
+        if wanted.count() <= BROADCAST_SETS:
+            hashes = F.broadcast(wanted.select(F.col("at").alias("content")).distinct())
+            rows = rows.join(hashes, "content", "left_semi")
         texts = rows.join(
             wanted, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("content") == F.col("at"))
-        ).groupBy("node").agg(F.first("text").alias("text"))  # a row may repeat
-        sets = scratch.store(_sets(texts, words), "grams")
-        edges = _links(sets, scratch, block_grams, block_sets)
-        label = components(edges).withColumnRenamed("node", "of")
-        known = nodes.join(label, F.col("node") == F.col("of"), "left").select(
-            "node", "least", "copies", F.coalesce("label", "node").alias("label")
+        ).groupBy("set").agg(F.first("text").alias("text"))  # a row may repeat
+        # from here on a set is known by a number
+        sets = _sets(texts, words).withColumn("node", F.monotonically_increasing_id())
+        sets = scratch.store(sets, "grams")
+        label = components(_links(sets, scratch, block_grams, block_sets))
+        linked = (
+            label.join(sets.select("node", F.col("set")), "node")
+            .join(nodes.select(F.col("node").alias("set"), "least"), "set")
+            .select("set", "label", "least")
+        )
+        names = linked.groupBy("label").agg(F.min("least").alias("component_id"))
+        linked = linked.join(names, "label").select(F.col("set").alias("node"), "component_id")
+        known = nodes.join(linked, "node", "left").select(
+            "node", "copies", "least", F.coalesce("component_id", "least").alias("component_id")
         )
-        names = known.groupBy("label").agg(F.min("least").alias("component_id"))
-        known = known.join(names, "label").filter(
-            (F.col("copies") > 1) | ~F.col("least").eqNullSafe(F.col("component_id"))
+        known = durable(
+            known.filter(
+                (F.col("copies") > 1) | ~F.col("least").eqNullSafe(F.col("component_id"))
+            ).drop("least"),
+            "components",
         )
-        known = durable(known.select("node", "copies", "component_id"), "components")
     return described.join(known, "node", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
