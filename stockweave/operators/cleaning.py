@@ -7,12 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockweave.durable import durable
 from stockweave.operators.ranking import head_of_groups
 from stockweave.schemas import MONEY, PRICE
 
 UNKNOWN_EMAIL = "unknown@example.com"
 ORDER_KEY = "order_line_id"
 
+MOST_REPEATED = 1 << 21  # 64-bit hashes sent to all tasks
+
 MISSING_CUSTOMER = "missing_customer"
 NON_POSITIVE_QUANTITY = "non_positive_quantity"
 NON_POSITIVE_TOTAL = "non_positive_total"
@@ -31,6 +34,34 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ())
     return head_of_groups(df, keys, [F.col(c) for c in ranked], 1)
 
 
+def dedupe_in_place(
+    stored: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] = (),
+    most: int = MOST_REPEATED,
+) -> DataFrame:
+    """As `dedupe_first`, but rows whose key has no copy stay in the task that reads them.
+
+    A first pass counts 64-bit hashes of the keys, 8 bytes each instead of whole rows. Hashes that
+    occur twice go to all tasks if there are at most `most`; only rows with one of them
+    are shuffled, and compared by their whole keys, so a hash that two keys share does no harm.
+    With more repeats than that nearly all rows would move anyway: then all of them do. `stored` is
+    read twice more, so it should be a table and not the result of costly work.
+    """
+    hashed = F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+    repeated = durable(
+        stored.select(hashed.alias("_hash")).groupBy("_hash").agg(F.count("*").alias("_rows"))
+        .filter("_rows > 1").select("_hash", F.lit(True).alias("_twice")),
+        "repeated-keys",
+    )
+    if repeated.count() > most:
+        return dedupe_first(stored, keys, order)
+    marked = stored.withColumn("_hash", hashed).join(F.broadcast(repeated), "_hash", "left")
+    alone = marked.filter(F.col("_twice").isNull()).drop("_hash", "_twice")
+    several = marked.filter(F.col("_twice")).drop("_hash", "_twice")
+    return alone.unionByName(dedupe_first(several, keys, order))
+
+
 def split_null_key(df: DataFrame, key: str = "customer_id") -> tuple[DataFrame, DataFrame]:
     """(rows with the key, rows to quarantine)."""
     return df.filter(F.col(key).isNotNull()), df.filter(F.col(key).isNull())

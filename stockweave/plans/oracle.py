@@ -607,6 +607,7 @@ def oracle_sql() -> dict[str, str]:
         "scan_warehouses": with_views("SELECT * FROM warehouses", "warehouses"),
         "scan_inventory": with_views("SELECT * FROM raw_inventory", "raw_inventory"),
         "dedupe_orders": _orders("deduped"),
+        "dedupe_orders_in_place": _orders("deduped"),
         "quarantine_orders": _orders("deduped", "WHERE customer_id IS NULL"),
         "reject_quantity": _orders("raw_orders", "WHERE quantity > 0"),
         "reject_total": _orders("raw_orders", "WHERE total_amount > 0"),

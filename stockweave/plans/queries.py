@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from stockweave.durable import scratch_path
+from stockweave.durable import durable, scratch_path
 from stockweave.functions.scalar import line_total
 from stockweave.learning import churn, isolation
 from stockweave.learning import demand as boosted
@@ -99,6 +99,12 @@ def dedupe_orders(spark, sf_dir):
     return cleaning.dedupe_first(fx.raw_orders(spark, sf_dir), [cleaning.ORDER_KEY], FIRST)
 
 
+@query
+def dedupe_orders_in_place(spark, sf_dir):
+    stored = durable(fx.raw_orders(spark, sf_dir), "raw-orders")
+    return cleaning.dedupe_in_place(stored, [cleaning.ORDER_KEY], FIRST)
+
+
 @query
 def quarantine_orders(spark, sf_dir):
     return cleaning.clean_orders(fx.raw_orders(spark, sf_dir), FIRST)[1]

@@ -161,3 +161,29 @@ def test_replays(spark):
     assert ids(again) == [1, 2, 2]
     assert ids(c.dedupe_first(again, ["order_line_id"])) == [1, 2]
     assert DAY == again.first().order_date
+
+
+def test_only_rows_with_repeated_keys_are_shuffled(spark, tmp_path):
+    rows = [(k, k % 3, f"v{k % 5}") for k in range(200)] + [(7, 9, "a"), (7, 1, "b"), (None, 1, "x")]
+    rows += [(None, 0, "y"), (11, 0, None)]
+    path = str(tmp_path / "rows")
+    spark.createDataFrame(rows, "k long, x int, v string").repartition(5).write.parquet(path)
+    stored = spark.read.parquet(path)
+    want = sorted(map(repr, c.dedupe_first(stored, ["k"], ["x"]).collect()))
+    found = c.dedupe_in_place(stored, ["k"], ["x"])
+    assert sorted(map(repr, found.collect())) == want
+    everything = c.dedupe_in_place(stored, ["k"], ["x"], most=1)
+    assert sorted(map(repr, everything.collect())) == want
+
+
+def test_in_place_dedupe_has_one_exchange_behind_the_filter(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(1000).selectExpr("id % 990 AS k", "id AS x").write.parquet(path)
+    found = c.dedupe_in_place(spark.read.parquet(path), ["k"], ["x"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan and "Union" in plan
+    assert found.count() == 990
+    executed = found._jdf.queryExecution().executedPlan().toString()
+    # rows go through an exchange only after the filter on repeated hashes
+    for part in executed.split("Exchange hashpartitioning")[1:]:
+        assert "_twice" in part
