@@ -52,7 +52,7 @@ COMMON = 8  # a chunk of larger candidates gets a further 1 / COMMON of sets com
 BUCKET_GRAMS = 1 << 20  # n-grams counted at once
 BROADCAST_SETS = 1 << 21  # 64-bit hashes of texts that are sent to all tasks at most
 RANGE_SETS = 1 << 16  # sets whose counts are added up at once
-HELD_GRAMS = 1 << 21  # n-grams a task holds before it passes them on
+HELD_GRAMS = 1 << 20  # n-grams a task holds before it passes them on
 
 _U = np.uint64
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -284,7 +284,7 @@ def _shared_counts(packed: DataFrame, buckets: int, ranges: int) -> DataFrame:
                     (np.frombuffer(names, "<u8"), np.frombuffer(total, "<u4").astype(np.int64))
                 )
                 size += len(held[-1][0])
-                if size > 2 * HELD_GRAMS:
+                if size > 4 * HELD_GRAMS:
                     held = [add(held)]
                     size = len(held[0][0]) // 2
         if held:
