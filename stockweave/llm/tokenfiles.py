@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -44,6 +44,7 @@ BLOCK_DOCUMENTS = 2000
 BLOCK_BYTES = 4 << 20
 LEVEL = 1
 TEXT_BYTES_PER_PART = 32 << 20
+PARTS_PER_GROUP = 4096
 
 _BLOCK = (
     "part int, block int, documents int, tokens long, doc_ids array<long>, payload binary"
@@ -186,27 +187,41 @@ def write(
     ordered.mapInArrow(blocks, _BLOCK).write.parquet(f"{path}/blocks")
 
 
+def _before(size: str, window) -> Column:
+    """The sum of `size` over the rows before this one."""
+    rows = window.rowsBetween(W.unboundedPreceding, -1)
+    return F.coalesce(F.sum(size).over(rows), F.lit(0))
+
+
 def read(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in the files; `ids` if asked."""
     stored = spark.read.parquet(f"{path}/dictionary").first()
     dictionary, wide = bytes(stored["dictionary"]), stored["wide"]
     blocks = spark.read.schema(_BLOCK).parquet(f"{path}/blocks")
-    # starts: sums over parts on the driver (one number each), then over the blocks of a part
-    totals = blocks.groupBy("part").agg(F.sum("tokens").alias("n")).orderBy("part").collect()
-    before, at = {}, 0
-    for r in totals:
-        before[r["part"]] = at
-        at += r["n"]
-    earlier = W.partitionBy("part").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    starts = blocks.select("part", "block", "tokens").select(
-        "part", "block", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("in_part")
+    # Starts are sums of what is before in the group of parts, in the part, and in the block. Only
+    # the last window is in one task, with a row for every PARTS_PER_GROUP parts.
+    sizes = blocks.select("part", "block", "tokens")
+    group = F.floor(F.col("part") / PARTS_PER_GROUP).alias("of")
+    parts = sizes.groupBy("part").agg(F.sum("tokens").alias("n")).select("part", group, "n")
+    groups = parts.groupBy("of").agg(F.sum("n").alias("n"))
+    groups = groups.select("of", _before("n", W.orderBy("of")).alias("in_all"))
+    parts = parts.select("part", "of", _before("n", W.partitionBy("of").orderBy("part")).alias("in_group"))
+    starts = (
+        sizes.select(
+            "part", "block", _before("tokens", W.partitionBy("part").orderBy("block")).alias("in_part")
+        )
+        .join(parts, "part")
+        .join(groups, "of")
+        .select(
+            "part", "block", (F.col("in_all") + F.col("in_group") + F.col("in_part")).alias("first")
+        )
     )
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 block = Block(batch.column("payload")[i].as_py(), dictionary, wide)
-                start = before[batch.column("part")[i].as_py()] + batch.column("in_part")[i].as_py()
+                start = batch.column("first")[i].as_py()
                 counts = block.counts.astype(np.int64)
                 ids = [block.document(k).astype("<u4") for k in range(block.n)]
                 columns = {
@@ -223,7 +238,7 @@ def read(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     return (
         blocks.select("part", "block", "doc_ids", "payload")
         .join(starts, ["part", "block"])
-        .select("part", "in_part", "doc_ids", "payload")
+        .select("first", "doc_ids", "payload")
         .mapInArrow(unpack, schema + (", ids array<long>" if with_ids else ""))
     )
 
