@@ -1,17 +1,19 @@
 """Token ids of whole texts, by the tokenizers library.
 
 A tokenizer that splits text before merging gives a word the same ids wherever it stands. So
-each worker encodes a word once and keeps its ids; a word of printable ASCII is put together
-from the pieces (letters, digits, punctuation) that the tokenizer would cut it into, of which there are
-far fewer. Texts whose white space could make a split depend on its surroundings, and those
+each worker encodes a word once and keeps its ids; a word of printable ASCII and Latin letters is
+put together from the pieces (letters, digits, punctuation) that the tokenizer would cut it into, of
+which there are far fewer, and only the vocabulary's merges are asked for a piece. Texts whose white space could make a split depend on its surroundings, and those
 with the name of a special token, are encoded as a whole. All ways give the same ids.
 """
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
+from array import array
 
 import numpy as np
 
@@ -19,11 +21,21 @@ KEPT_WORDS = 800_000  # a worker forgets its words when it has so many
 _JOINED = 4_000  # new words encoded at once
 
 # How the two kinds of vocabularies cut, as their files state it, and the same for
-# printable ASCII.
+# printable ASCII and Latin letters that are one code point in either case, composed or not.
 _LETTERS_FIRST = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-_LOWER_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-_BYTE_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ A-Za-z0-9]+")
-_PRINTABLE = re.compile(" ?[!-~]+")
+_LATIN = "À-ÖØ-öø-įĲ-ňŊ-ž"
+_LOWER_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[^a-z0-9{_LATIN}]+")
+_BYTE_PIECES = re.compile(
+    f"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z{_LATIN}]+| ?[0-9]+| ?[^ A-Za-z0-9{_LATIN}]+"
+)
+_PRINTABLE = re.compile(f" ?[!-~{_LATIN}]+")
+
+# A byte-level vocabulary writes a visible byte as the character of that number, and the others, in
+# order, as the characters from 256 on.
+_VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_NAMES = dict(
+    zip(sorted(set(range(256)) - set(_VISIBLE)), map(chr, range(256, 512)), strict=False)
+)
 
 # White space other than space and line feed, in any common reading of the term.
 _RARE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
@@ -37,6 +49,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as f:
             kind = json.load(f)
         # names without "<" would need a look at every text
@@ -67,7 +80,16 @@ class Encoder:
                 self.words["\n"] = mark.tobytes()
 
     def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        made = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(made[0].ids, dtype="<u4")
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of what the tokenizer's split would hand to the merges."""
+        if piece.isascii():  # the space is the only byte of a piece that has another name
+            name = piece.replace(" ", _BYTE_NAMES[32])
+        else:
+            name = piece.encode().decode("latin-1").translate(_BYTE_NAMES)
+        return array("I", [t.id for t in self.model.tokenize(name)]).tobytes()
 
     def _learn(self, new: list[str]) -> None:
         if len(self.words) + len(new) > KEPT_WORDS:
@@ -82,7 +104,7 @@ class Encoder:
                 whole.append(word)
         known = self.known_pieces
         fresh = list(dict.fromkeys(p for _, pieces in cut for p in pieces if p not in known))
-        known.update(zip(fresh, self._encode_many(fresh), strict=True))
+        known.update((p, self._piece(p)) for p in fresh)
         for word, pieces in cut:
             self.words[word] = b"".join([known[p] for p in pieces])
         self.words.update(zip(whole, self._encode_many(whole), strict=True))
@@ -136,13 +158,25 @@ class Encoder:
             return b"".join(map(self.words.__getitem__, found))
 
     def encode_batch(self, some: list[str]) -> list[bytes]:
-        """As `encode`; new words of all texts are learned together."""
+        """As `encode`; new words of all texts are learned together.
+
+        The many short lists made here hold no cycles, so the collector needn't walk them.
+        """
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode_batch(some)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode_batch(self, some: list[str]) -> list[bytes]:
         split = [None if self._alone(t) else self.split.findall(t) for t in some]
         known = self.words
-        new: dict[str, None] = {}
+        new: set[str] = set()
         for words in split:
             if words:
-                new.update(dict.fromkeys(w for w in words if w not in known))
+                new |= set(words).difference(known)
         if new:
             self._learn(list(new))
         whole = self.words is known

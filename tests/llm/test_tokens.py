@@ -48,7 +48,14 @@ def test_word_by_word_ids_equal_whole_text_ids(which, byte_vocabulary, word_voca
         got = [np.frombuffer(x, "<u4").tolist() for x in mine.encode_batch(some)]
         assert got == [t.encode(x, add_special_tokens=False).ids for x in some]
 
+    @settings(max_examples=150, deadline=None)
+    @given(st.lists(st.text(alphabet=st.sampled_from("aZ's1 .ÀÿßŒŽžİıŉſĲȺ×÷\u0301\u0308"), max_size=30)))
+    def check_latin(some):
+        got = [np.frombuffer(x, "<u4").tolist() for x in mine.encode_batch(some)]
+        assert got == [t.encode(x, add_special_tokens=False).ids for x in some]
+
     check()
+    check_latin()
     got = [np.frombuffer(x, "<u4").tolist() for x in mine.encode_batch(ODD)]
     assert got == [t.encode(x, add_special_tokens=False).ids for x in ODD]
     monkeypatch.setattr("stockweave.llm.tokens.KEPT_WORDS", 3)  # forgets all the time
@@ -128,7 +135,9 @@ def test_packing_edges(docs_of, byte_vocabulary):
     assert packing.pack(docs_of([]), byte_vocabulary).count() == 0
 
 
-def test_token_files_round_trip(spark, small_docs, word_vocabulary, tmp_path):
+@pytest.mark.parametrize("together", [2, 4096])
+def test_token_files_round_trip(spark, small_docs, word_vocabulary, tmp_path, monkeypatch, together):
+    monkeypatch.setattr(tokenfiles, "PARTS_PER_GROUP", together)
     path = str(tmp_path / "files")
     tokenfiles.write(small_docs, path, word_vocabulary, end_id=1)
     got = tokenfiles.read(spark, path, with_ids=True).orderBy("doc_id").collect()
