@@ -2,10 +2,12 @@
 
 Documents fall into cells of source, language and topic. The tokens of the cells (words between
 white space) are raked: scaled to the target share of every source, then of every language,
-then of every topic, `rounds` times over. A cell's rate is its raked weight over its tokens.
-Probabilities are share * rate, at most 1, and calibrated: while some are capped, the others
-are raised so that the expected tokens stay `share` of all. A document is kept if the hash of
-its doc_id, between 0 and 1, lies below the probability of its cell.
+then of every topic, `rounds` times over. No document is repeated, so a cell gives no more than its
+tokens: a cell that reaches them stays there while its group grows, and the other cells of the group
+make up for it. A cell's rate is its raked weight over its tokens. Probabilities are share * rate,
+at most 1, and calibrated: where targets can't be met the others are raised, so that the expected tokens stay
+`share` of all; `reached` tells every group's target and what it gets. A document is kept
+if the hash of its doc_id, between 0 and 1, lies below the probability of its cell.
 
 Everything is DataFrame expressions. Rows meet their cell by a join on three keys, which Spark
 broadcasts if the cells are few and splits if one cell is large.
@@ -32,6 +34,7 @@ SHARE = 0.5
 TEMPER = 0.7
 ROUNDS = 8
 CALIBRATIONS = 4
+NEARLY = 1 - 1e-9  # a cell at this part of its tokens has reached them
 WORD = r"[^\x20\x09-\x0D]+"
 DIGITS = 9
 
@@ -96,26 +99,56 @@ def raked_cells(
     targets: Mapping[str, Mapping[str, float]] | None = None,
     temper: float = TEMPER,
     rounds: int = ROUNDS,
+    share: float | None = None,
 ) -> DataFrame:
-    """(source, lang, topic, tokens, weight) of all cells; weights sum to 1."""
+    """(source, lang, topic, tokens, weight, want_<key>...) of all cells.
+
+    Weights sum to 1. If `share` of all tokens is to be drawn, no cell's weight stands for more tokens
+    than it has, and weights sum to less where the targets can't be met so.
+    """
     cells = durable(
         documents.groupBy(*KEYS).agg(F.sum("n_tokens").alias("tokens")), "cells"
     )
     for key in KEYS:
         cells = _targets(cells, key, (targets or {}).get(key), temper)
-    cells = durable(cells.withColumn("weight", F.col("tokens").cast("double")), "targets")
+    whole = float(cells.agg(F.sum("tokens")).first()[0] or 1)
+    part = F.col("tokens").cast("double") / F.lit(whole)
+    most = F.lit(float("inf")) if share is None else part / F.lit(share)
+    cells = durable(cells.withColumn("weight", part).withColumn("most", most), "targets")
+    at_most = F.col("weight") >= F.col("most") * NEARLY
     for number in range(rounds):
         for key in KEYS:
-            total = F.sum("weight").over(W.partitionBy(key))
-            cells = cells.withColumn("total", total).withColumn(
-                "weight",
+            group, want = W.partitionBy(key), F.col(f"want_{key}")
+            factor = (
                 F.when(
-                    F.col("total") > 0, F.col("weight") * F.col(f"want_{key}") / F.col("total")
-                ).otherwise(0.0),
+                    (want > F.col("full") + F.col("free")) & (F.col("free") > 0),
+                    (want - F.col("full")) / F.col("free"),
+                )
+                .when(F.col("full") + F.col("free") > 0, want / (F.col("full") + F.col("free")))
+                .otherwise(0.0)
+            )
+            cells = (
+                cells.withColumn("full", F.sum(F.when(at_most, F.col("weight")).otherwise(0.0)).over(group))
+                .withColumn("free", F.sum(F.when(at_most, 0.0).otherwise(F.col("weight"))).over(group))
+                .withColumn("weight", F.least("most", F.col("weight") * factor))
             )
         if number % 4 == 3:
             cells = durable(cells, "raked")  # keeps the plan short
-    return cells.select(*KEYS, "tokens", "weight")
+    return cells.select(*KEYS, "tokens", "weight", *[f"want_{k}" for k in KEYS])
+
+
+def reached(cells: DataFrame) -> DataFrame:
+    """(key, name, wanted, expected): shares of the tokens drawn from `calibrated` cells, by group."""
+    drawn = F.col("probability") * F.col("tokens")
+    cells = durable(cells, "calibrated")
+    total = cells.agg(F.sum(drawn)).first()[0] or 1.0
+    parts = [
+        cells.groupBy(F.lit(key).alias("key"), F.col(key).alias("name")).agg(
+            F.first(f"want_{key}").alias("wanted"), (F.sum(drawn) / total).alias("expected")
+        )
+        for key in KEYS
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def calibrated(cells: DataFrame, share: float = SHARE, calibrations: int = CALIBRATIONS) -> DataFrame:
@@ -149,7 +182,7 @@ def mix(
 ) -> DataFrame:
     """(row, doc_id, source, lang, topic, n_tokens, probability, kept) of every row of `docs`."""
     documents = celled(docs, topics, doc_id, text, source, lang)
-    cells = calibrated(raked_cells(documents, targets, temper, rounds), share)
+    cells = calibrated(raked_cells(documents, targets, temper, rounds, share), share)
     cells = cells.select(*[F.col(k).alias(f"cell_{k}") for k in KEYS], "probability")
     same = [F.col(k).eqNullSafe(F.col(f"cell_{k}")) for k in KEYS]
     name = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
@@ -193,15 +226,22 @@ def sql(documents: str = "documents") -> str:
     wants = ", ".join(f"want_{k}.share AS want_{k}" for k in KEYS)
     steps.append(
         f"""w0 AS (
-  SELECT cells.*, {wants}, CAST(tokens AS DOUBLE) AS weight FROM cells {joins})"""
+  SELECT *, weight / CAST({SHARE} AS DOUBLE) AS most FROM (
+    SELECT cells.*, {wants}, CAST(tokens AS DOUBLE)
+           / greatest((SELECT sum(tokens) FROM cells), 1) AS weight FROM cells {joins}))"""
     )
+    nearly = f"CAST({NEARLY!r} AS DOUBLE)"
     for n in range(ROUNDS * len(KEYS)):
         key = KEYS[n % len(KEYS)]
         steps.append(
             f"""w{n + 1} AS (
-  SELECT * EXCLUDE (weight, total),
-         CASE WHEN total > 0 THEN weight * want_{key} / total ELSE 0 END AS weight
-  FROM (SELECT *, sum(weight) OVER (PARTITION BY {key}) AS total FROM w{n}))"""
+  SELECT * EXCLUDE (weight, full_, free_), least(most, weight * CASE
+           WHEN want_{key} > full_ + free_ AND free_ > 0 THEN (want_{key} - full_) / free_
+           WHEN full_ + free_ > 0 THEN want_{key} / (full_ + free_) ELSE 0 END) AS weight
+  FROM (SELECT *, sum(CASE WHEN weight >= most * {nearly} THEN weight ELSE 0 END)
+                    OVER (PARTITION BY {key}) AS full_,
+               sum(CASE WHEN weight >= most * {nearly} THEN 0 ELSE weight END)
+                    OVER (PARTITION BY {key}) AS free_ FROM w{n}))"""
         )
     steps.append(
         f"""rated AS (

@@ -199,6 +199,27 @@ def test_mixture_keeps_the_share(small_docs):
     assert expected == pytest.approx(0.5, abs=0.02)
 
 
+def test_a_cell_without_more_tokens_is_made_up_for(spark):
+    have = {("A", "en"): 60, ("A", "de"): 5, ("B", "en"): 10, ("B", "de"): 25}
+    rows = [(i, "w " * n, s, lang) for i, ((s, lang), n) in enumerate(have.items())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    even = {"source": {"A": 1, "B": 1}, "lang": {"en": 1, "de": 1}}
+    # without caps B-de would get 25.4 of its 25; the only other way to 30 each is 25, 5, 5, 25
+    made = mixing.raked_cells(mixing.celled(docs), even, rounds=40, share=0.6)
+    cells = mixing.calibrated(made, 0.6)
+    got = {(r["source"], r["lang"]): r["probability"] * r["tokens"] for r in cells.collect()}
+    want = {("A", "en"): 25, ("A", "de"): 5, ("B", "en"): 5, ("B", "de"): 25}
+    assert got == pytest.approx(want, abs=0.3)
+    for r in mixing.reached(cells).collect():
+        assert r["expected"] == pytest.approx(r["wanted"], abs=0.01)
+    # a target beyond a group's tokens is told: 60 tokens of A are drawn of 65, so B gives all of 35
+    most = {"source": {"B": 1, "A": 0.1}, "lang": {"en": 1, "de": 1}}
+    cells = mixing.calibrated(mixing.raked_cells(mixing.celled(docs), most, share=0.6), 0.6)
+    told = {r["name"]: r for r in mixing.reached(cells).filter("key = 'source'").collect()}
+    assert told["B"]["wanted"] == pytest.approx(1 / 1.1)
+    assert told["B"]["expected"] == pytest.approx(35 / 60, abs=0.01)
+
+
 def test_mixture_edges(docs_of):
     rows = docs_of([(1, None), (2, ""), (None, "some words"), (4, "more words"), (4, "more words")])
     got = mixing.mix(rows.withColumn("source", F.lit(None).cast("string"))).collect()
