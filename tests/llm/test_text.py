@@ -233,51 +233,143 @@ def test_mixture_runs_no_python(small_docs):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
+def vocabulary_of(rows, known=pseudolm.KNOWN):
+    counts = pseudolm.word_counts(rows)
+    return counts, pseudolm.Vocabulary(*pseudolm.split_counts(counts, known))
+
+
+def test_word_counts_and_their_border_are_exact(small_docs):
+    rows = small_docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    want = collections.Counter(
+        w for r in rows.collect() for w in re.findall(r"[^ \t-\r]+", r["text"].lower())
+    )
+    counts = pseudolm.word_counts(rows)
+    assert sorted(r["n"] for r in counts.collect()) == sorted(want.values())
+    words, n, totals = pseudolm.split_counts(counts, 500)
+    assert 0 < len(words) <= 500
+    assert sorted(n.tolist()) == sorted(want.values())[-len(n) :]
+    assert n.sum() + totals.sum() == sum(want.values())
+
+
 def test_network_gradient_matches_differences():
     rng = np.random.default_rng(0)
-    p = [x.astype(np.float64) for x in pseudolm.first_parameters(50)]
-    windows = rng.integers(0, 50, (30, 4))
-    classes = rng.integers(0, pseudolm.CLASSES, 30)
+    words = np.sort(rng.integers(0, 1 << 63, 300).astype(np.uint64))
+    v = pseudolm.Vocabulary(
+        words, rng.integers(1, 90, 300), rng.integers(0, 3, pseudolm.BUCKETS)
+    )
+    p = [x.astype(np.float64) for x in pseudolm.first_parameters(v)]
+    p = [x + rng.normal(0, 0.1, x.shape) for x in p]
+    windows = rng.integers(0, v.inputs, (30, 4)).astype(np.uint16)
+    outputs = rng.integers(0, 300, 30)
 
     def loss(q):
-        return -pseudolm.forward(q, windows)[2][np.arange(30), classes].mean()
+        return -pseudolm.log_outputs(q, v, windows, outputs).mean()
 
     q = [x.copy() for x in p]
-    pseudolm.train_batch(q, windows, classes, 1.0)  # steps by the gradient
-    for k in range(5):
+    pseudolm.train_batch(q, v, windows, outputs, 1.0, 1.0)
+    _, forks, _ = v.paths(outputs)
+    for k in range(7):
         at = tuple(rng.integers(0, s) for s in p[k].shape)
+        share = 1.0
         if k == 0:
             at = (int(windows[0, 0]), 3)
+        if k > 4:  # a fork steps by the mean over the words that pass it
+            fork = int(forks[5])
+            at = (3, fork) if k == 5 else (fork,)
+            share = max((forks == fork).sum(), pseudolm.FORK_LEAST) / 30
         eps = 1e-5
         up = [x.copy() for x in p]
         up[k][at] += eps
         down = [x.copy() for x in p]
         down[k][at] -= eps
-        assert p[k][at] - q[k][at] == pytest.approx((loss(up) - loss(down)) / (2 * eps), rel=1e-3, abs=1e-6)
+        slope = (loss(up) - loss(down)) / (2 * eps)
+        assert (p[k][at] - q[k][at]) * share == pytest.approx(slope, rel=1e-3, abs=1e-6)
+
+
+def test_probabilities_of_all_outputs_sum_to_one(small_docs):
+    rows = small_docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    _, v = vocabulary_of(rows, 300)
+    p = pseudolm.train(rows, v)
+    everything = np.arange(len(v.class_of))
+    for window in ([1, 5, 9, 2], [v.border, v.border, 0, 3]):
+        windows = np.tile(np.array(window, dtype=np.uint16), (len(everything), 1))
+        logs = pseudolm.log_outputs(p, v, windows, everything)
+        assert np.exp(logs).sum() == pytest.approx(1, abs=1e-4)
+    start = pseudolm.first_parameters(v)  # untrained: the frequencies of the words
+    n = pseudolm.split_counts(pseudolm.word_counts(rows), 300)
+    total = n[1].sum() + (n[2] + pseudolm.UNSEEN).sum()
+    logs = pseudolm.log_outputs(start, v, windows, everything)[: len(n[1])]
+    assert logs == pytest.approx(np.log(n[1] / total), abs=1e-3)
 
 
 def test_scores_match_one_word_at_a_time(small_docs):
+    """A plain forward pass: counts by Counter, one word, one turn at a time."""
     rows = small_docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    vocabulary = pseudolm.Vocabulary(pseudolm.bin_counts(rows))
-    assert vocabulary.class_of.min() == 0 and vocabulary.class_of.max() < pseudolm.CLASSES
-    inside = np.bincount(vocabulary.class_of, weights=np.exp(vocabulary.log_inside))
-    assert inside[inside > 0] == pytest.approx(1)
-    p = pseudolm.train(rows, vocabulary)
-    got = {r["doc_id"]: r for r in pseudolm.score(rows, vocabulary, p).collect()}
+    rows = rows.filter("text NOT RLIKE '[^\\\\x01-\\\\x7f]'")
+    counted = collections.Counter(
+        w for r in rows.collect() for w in re.findall(r"[^ \t-\r]+", r["text"].lower())
+    )
+    counts, v = vocabulary_of(rows, 400)
+    p = [x.astype(float) for x in pseudolm.train(rows, v)]
+    got = {r["doc_id"]: r for r in pseudolm.score(rows, counts, v, p).collect()}
     import pyarrow as pa
 
-    for r in rows.limit(5).collect():
-        bins, _ = pseudolm.word_bins(pa.array([r["text"]]))
+    number = {}
+    for w in counted:
+        h = int(pseudolm.word_hashes(pa.array([w]))[0][0])
+        at = int(np.searchsorted(v.words, np.uint64(h)))
+        known = at < len(v.words) and int(v.words[at]) == h
+        number[w] = (at if known else len(v.words) + (h >> (64 - pseudolm.BUCKET_BITS)), known)
+    in_bucket = collections.Counter()
+    for w, (out, known) in number.items():
+        if not known:
+            in_bucket[out] += counted[w]
+    assert len(got) > 20
+    for r in rows.limit(4).collect():
+        words = re.findall(r"[^ \t-\r]+", r["text"].lower())
         total = 0.0
-        for i, b in enumerate(bins.tolist()):
-            window = [
-                vocabulary.input_of[bins[j]] if 0 <= j < len(bins) else vocabulary.border
-                for j in (i - 2, i - 1, i + 1, i + 2)
-            ]
-            scores = pseudolm.forward(p, np.array([window]))[2][0]
-            total += scores[vocabulary.class_of[b]] + vocabulary.log_inside[b]
-        assert got[r["doc_id"]]["log_prob"] == pytest.approx(total, rel=1e-4)
-        assert got[r["doc_id"]]["n_words"] == len(bins)
+        for i, w in enumerate(words):
+            sides = []
+            for j in (i - 2, i - 1, i + 1, i + 2):
+                inside = 0 <= j < len(words)
+                sides.extend(p[0][v.input_of[number[words[j]][0]] if inside else v.border])
+            h = np.tanh(np.array(sides) @ p[1] + p[2])
+            raw = np.exp(h @ p[3] + p[4])
+            out, known = number[w]
+            total += np.log(raw[v.class_of[out]] / raw.sum())
+            for k in range(v.path_start[out], v.path_start[out] + v.depth[out]):
+                fork, side = v.forks[k], v.sides[k]
+                total += np.log(1 / (1 + np.exp(-side * (h @ p[5][:, fork] + p[6][fork]))))
+            if not known:
+                total += np.log(counted[w] / (in_bucket[out] + pseudolm.UNSEEN))
+        assert got[r["doc_id"]]["log_prob"] == pytest.approx(total, rel=1e-3)
+        assert got[r["doc_id"]]["n_words"] == len(words)
+
+
+def test_a_word_of_like_frequency_in_its_place_scores_lower(docs_of):
+    rng = np.random.default_rng(3)
+    pairs = [("red", "apple"), ("blue", "whale"), ("old", "castle"), ("dry", "desert")]
+    rows = []
+    for k in range(400):
+        said = [pairs[i] for i in rng.integers(0, 4, 100)]
+        rows.append((k, " ".join(f"{a} {b}" for a, b in said)))
+    docs = docs_of(rows).select("doc_id", "text").coalesce(1)
+    counts, v = vocabulary_of(docs)
+    p = pseudolm.train(docs, v, 1)
+    test = docs_of([(1, "old castle red apple dry desert"), (2, "old castle red whale dry desert")])
+    got = {r["doc_id"]: r["log_prob"] for r in pseudolm.score(test, counts, v, p).collect()}
+    assert got[1] > got[2] + 1
+
+
+def test_unseen_words_and_splits(docs_of):
+    docs = docs_of([(k, "some words that are here again and again") for k in range(50)])
+    counts, v = vocabulary_of(docs, 3)
+    p = pseudolm.train(docs.select("doc_id", "text"), v)
+    test = docs_of([(1, "some words that"), (2, "zzqx vvkw that"), (2, "zzqx vvkw that")])
+    one = sorted(pseudolm.score(test.coalesce(1), counts, v, p).collect())
+    assert one == sorted(pseudolm.score(test.repartition(5), counts, v, p).collect())
+    assert [r["n_words"] for r in one] == [3, 3, 3]
+    assert one[1] == one[2] and one[0]["log_prob"] > one[1]["log_prob"]
 
 
 def test_likelihood_edges(docs_of):
