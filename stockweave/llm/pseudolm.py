@@ -54,10 +54,10 @@ UNSEEN = 1 / 16
 CLASSES = 64
 INPUTS = 4096
 SIDE = 2
-WIDTH = 12
+WIDTH = 8
 HIDDEN = 8
 ROUNDS = 2
-BATCH = 1024
+BATCH = 2048
 RATE = 0.5
 FORK_RATE = 0.25
 FORK_LEAST = 8  # a fork that fewer words of a batch pass moves as if so many did
@@ -227,7 +227,7 @@ def first_parameters(vocabulary: Vocabulary, seed: int = 7) -> list[np.ndarray]:
         np.zeros(HIDDEN, np.float32),
         np.zeros((HIDDEN, vocabulary.classes), np.float32),
         vocabulary.log_mass.astype(np.float32),
-        np.zeros((HIDDEN, len(vocabulary.lean)), np.float32),
+        np.zeros((len(vocabulary.lean), HIDDEN), np.float32),
         vocabulary.lean.copy(),
     ]
 
@@ -237,9 +237,9 @@ def forward(p: list[np.ndarray], windows: np.ndarray) -> tuple[np.ndarray, ...]:
     vectors = p[0].take(windows, axis=0).reshape(len(windows), -1)
     hidden = np.tanh(vectors @ p[1] + p[2])
     scores = hidden @ p[3] + p[4]
-    scores -= scores.max(axis=1, keepdims=True)
+    np.clip(scores, -60, 60, out=scores)  # no overflow; untrained, they are logarithms of shares
     np.exp(scores, out=scores)
-    scores /= scores.sum(axis=1, keepdims=True)
+    scores /= (scores @ np.ones(scores.shape[1], scores.dtype))[:, None]
     return vectors, hidden, scores
 
 
@@ -247,7 +247,7 @@ def turns(
     p: list[np.ndarray], sides: np.ndarray, forks: np.ndarray, hidden: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
     """(vectors of forks, exp(-logit) of every turn); `hidden` has a column per turn."""
-    vectors = p[5].take(forks, axis=1)
+    vectors = np.ascontiguousarray(p[5].take(forks, axis=0).T)
     logits = (vectors * hidden).sum(axis=0) + p[6].take(forks)
     return vectors, np.exp(np.minimum(-sides * logits, np.float32(60)))
 
@@ -299,7 +299,7 @@ def train_batch(
         at = forks[order[first]]
         passed = np.diff(np.append(first, len(order)))
         step = (fork_rate / np.maximum(passed, FORK_LEAST)).astype(np.float32)
-        p[5][:, at] -= step * np.add.reduceat(mine.take(order, axis=1), first, axis=1)
+        p[5][at] -= (step * np.add.reduceat(mine.take(order, axis=1), first, axis=1)).T
         p[6][at] -= step * np.add.reduceat(turn[order], first)
     inner = back * (1 - hidden * hidden)
     outer = (inner @ p[1].T).reshape(-1, WIDTH).T

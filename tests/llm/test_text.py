@@ -275,7 +275,7 @@ def test_network_gradient_matches_differences():
             at = (int(windows[0, 0]), 3)
         if k > 4:  # a fork steps by the mean over the words that pass it
             fork = int(forks[5])
-            at = (3, fork) if k == 5 else (fork,)
+            at = (fork, 3) if k == 5 else (fork,)
             share = max((forks == fork).sum(), pseudolm.FORK_LEAST) / 30
         eps = 1e-5
         up = [x.copy() for x in p]
@@ -339,7 +339,7 @@ def test_scores_match_one_word_at_a_time(small_docs):
             total += np.log(raw[v.class_of[out]] / raw.sum())
             for k in range(v.path_start[out], v.path_start[out] + v.depth[out]):
                 fork, side = v.forks[k], v.sides[k]
-                total += np.log(1 / (1 + np.exp(-side * (h @ p[5][:, fork] + p[6][fork]))))
+                total += np.log(1 / (1 + np.exp(-side * (h @ p[5][fork] + p[6][fork]))))
             if not known:
                 total += np.log(counted[w] / (in_bucket[out] + pseudolm.UNSEEN))
         assert got[r["doc_id"]]["log_prob"] == pytest.approx(total, rel=1e-3)
