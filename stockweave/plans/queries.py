@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -28,6 +28,7 @@ from stockweave.operators import (
 from stockweave.plans import fixtures as fx
 from stockweave.schemas import ORDERS
 from stockweave.sources.feeds import read_order_stream, write_messages
+from stockweave.sources.tables import if_exists
 from stockweave.streaming import numbering
 from stockweave.streaming import orders as feed
 
@@ -508,10 +509,14 @@ def orders_to_json(spark, sf_dir):
     return feed.encode_orders(fx.raw_orders(spark, sf_dir))
 
 
+# Messages repeat every name: compressed they take a fifth of the room, and half of a shuffle's.
+_FEED = {"compression": "gzip", "maxRecordsPerFile": "1000000"}  # a file is read by one task
+
+
 def _published(spark: SparkSession, orders: DataFrame) -> DataFrame:
     """Publish orders as messages and open them as a stream."""
     topic = scratch_path(spark, "feed")
-    write_messages(feed.encode_orders(orders), topic, fmt="text")
+    write_messages(feed.encode_orders(orders), topic, fmt="text", **_FEED)
     return feed.decode_orders(read_order_stream(spark, "text", path=topic))
 
 
@@ -538,44 +543,56 @@ def order_stream_count(spark, sf_dir):
     return spark.read.schema(counted.schema).parquet(out)
 
 
-WAVE_FILES = 4
+WAVES = 3
+ALL_FILES = (1 << 31) - 1
 
 
-def _raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _raw_feed(spark: SparkSession, sf_dir: str) -> Iterator[DataFrame]:
     """Orders as they come: first copies, second copies and further ones in three waves, with
-    messages among them that can't be read. A batch of the stream takes one wave."""
+    messages among the first that can't be read. The feed is given as it stands after each wave;
+    a run that takes all it holds then takes one wave as its batch.
+
+    Orders are scanned and their copies numbered once, and the messages of all waves written by
+    that one job, each wave to a folder of its own.
+    """
     raw = fx.raw_orders(spark, sf_dir)
     rest = [c for c in raw.columns if c not in FIRST and c != cleaning.ORDER_KEY]
     copies = W.partitionBy(cleaning.ORDER_KEY).orderBy(*FIRST, *rest)
-    sent = raw.withColumn("wave", F.least(F.row_number().over(copies), F.lit(3)))
+    sent = raw.withColumn("wave", F.least(F.row_number().over(copies), F.lit(WAVES)))
     key = F.col(cleaning.ORDER_KEY)
-    broken = raw.filter(key % 89 == 3).select(F.concat(F.lit("{broken "), key).alias("value"))
-    undated = raw.filter(key % 97 == 5).select(
-        F.concat(
-            F.lit('{"order_line_id":'), key, F.lit(',"order_date":"31.02.2024"}')
-        ).alias("value")
+    broken = F.concat(F.lit("{broken "), key)
+    undated = F.concat(F.lit('{"order_line_id":'), key, F.lit(',"order_date":"31.02.2024"}'))
+
+    def first(when: Column, text: Column) -> Column:
+        return F.when(when, F.struct(F.lit(1).alias("wave"), text.alias("value")))
+
+    messages = F.array_compact(
+        F.array(
+            F.struct("wave", feed.order_message().alias("value")),
+            first(key % 89 == 3, broken),
+            first(key % 97 == 5, undated),
+        )
     )
     topic = scratch_path(spark, "feed")
-    for wave in (1, 2, 3):
-        messages = feed.encode_orders(sent.filter(F.col("wave") == wave).drop("wave"))
-        if wave == 1:
-            messages = messages.select("value").unionAll(broken).unionAll(undated)
-        write_messages(messages.repartition(WAVE_FILES), topic, fmt="text", mode="append")
-    opened = read_order_stream(spark, "text", per_batch=WAVE_FILES, path=topic)
-    return feed.decode_feed(opened)
+    sent.select(F.inline(messages)).write.partitionBy("wave").options(**_FEED).text(topic)
+    for wave in range(1, WAVES + 1):
+        folder = f"{topic}/wave={wave}"
+        if if_exists(lambda folder=folder: spark.read.text(folder)) is None:
+            # no order has so many copies: the wave comes all the same, without messages
+            spark.createDataFrame([], "value string").write.options(**_FEED).text(folder)
+        arrived = f"{topic}/wave=[1-{wave}]"
+        yield feed.decode_feed(
+            read_order_stream(spark, "text", per_batch=ALL_FILES, path=arrived)
+        )
 
 
 def _loaded(spark, sf_dir) -> dict[str, str]:
     """The streaming load over three batches: where its outputs are."""
     out = {n: scratch_path(spark, n) for n in ("clean", "quarantine", "rejects", "offsets")}
-    feed.load_order_stream(
-        _raw_feed(spark, sf_dir),
-        out["clean"],
-        out["quarantine"],
-        out["offsets"],
-        "7 days",
-        out["rejects"],
-    )
+    for messages in _raw_feed(spark, sf_dir):
+        feed.load_order_stream(
+            messages, out["clean"], out["quarantine"], out["offsets"], "7 days", out["rejects"]
+        )
     return out
 
 
@@ -594,17 +611,12 @@ def order_stream_rejects(spark, sf_dir):
     return spark.read.parquet(_loaded(spark, sf_dir)["rejects"]).drop("batch")
 
 
-def _readable_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feed.readable(_raw_feed(spark, sf_dir))
-
-
 @query
 def order_stream_numbered(spark, sf_dir):
     """Numbers over three batches; orders of a batch are numbered by their columns."""
-    out = scratch_path(spark, "numbered")
-    numbering.number_stream(
-        _readable_waves(spark, sf_dir), out, scratch_path(spark, "offsets"), ORDERS.names
-    )
+    out, offsets = scratch_path(spark, "numbered"), scratch_path(spark, "offsets")
+    for messages in _raw_feed(spark, sf_dir):
+        numbering.number_stream(feed.readable(messages), out, offsets, ORDERS.names)
     return numbering.numbered_messages(spark, out)
 
 
@@ -612,10 +624,17 @@ def order_stream_numbered(spark, sf_dir):
 def order_stream_first_n(spark, sf_dir):
     """The first 20 messages, and what two further runs take from where the last one stopped."""
     out, offsets = scratch_path(spark, "taken"), scratch_path(spark, "offsets")
-    stream = _readable_waves(spark, sf_dir)
+    sizes = (20, 480, 700)
+    waves = [feed.readable(messages) for messages in _raw_feed(spark, sf_dir)]
+    last = waves.pop()
+    for stream in waves:  # a feed of few orders: its later waves are wanted too
+        numbering.number_stream(stream, out, offsets, ORDERS.names)
+        if numbering.numbered_messages(spark, out).limit(sum(sizes)).count() == sum(sizes):
+            last = stream
+            break
     runs = [
-        numbering.consume_first(stream, n, out, offsets, ORDERS.names).withColumn("run", F.lit(k))
-        for k, n in enumerate((20, 480, 700))
+        numbering.consume_first(last, n, out, offsets, ORDERS.names).withColumn("run", F.lit(k))
+        for k, n in enumerate(sizes)
     ]
     return runs[0].unionByName(runs[1]).unionByName(runs[2])
 

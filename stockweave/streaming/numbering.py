@@ -68,7 +68,9 @@ def _store_batch(batch: DataFrame, batch_id: int, path: str, order: Sequence[str
     start = _counted(spark, path, batch_id)
     with scratch_copy(_sorted(batch, order), "numbered") as stored:
         numbered, total = number_rows(stored, start)
-        numbered.write.mode("overwrite").parquet(f"{path}/messages/batch={batch_id}")
+        numbered.write.mode("overwrite").option("compression", "zstd").parquet(
+            f"{path}/messages/batch={batch_id}"
+        )
     count = spark.range(1).select(F.lit(total).cast("long").alias("row_count"))
     count.coalesce(1).write.mode("overwrite").parquet(f"{path}/counts/batch={batch_id}")
 

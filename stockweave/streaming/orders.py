@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -35,14 +35,16 @@ _MESSAGE = ", ".join(
 
 def encode_orders(df: DataFrame) -> DataFrame:
     """Orders as (key, value) messages: one flat JSON object each, absent values as null."""
+    return df.select(F.col(ORDER_KEY).cast("string").alias("key"), order_message().alias("value"))
+
+
+def order_message() -> Column:
+    """The order columns as one flat JSON object."""
     fields = [
         F.date_format(f.name, "yyyy-MM-dd").alias(f.name) if _is_date(f) else F.col(f.name)
         for f in ORDERS
     ]
-    return df.select(
-        F.col(ORDER_KEY).cast("string").alias("key"),
-        F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"),
-    )
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
 def decode_feed(messages: DataFrame) -> DataFrame:
@@ -140,8 +142,13 @@ def load_order_stream(
             outputs.append((accepted(orders), clean))
             outputs.append((rejected(orders, MISSING_CUSTOMER), quarantine))
             for rows, path in outputs:
-                rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+                rows.write.mode("overwrite").option("compression", "zstd").parquet(
+                    f"{path}/batch={batch_id}"
+                )
 
+    if rejected_to is not None:  # only what can't be read is wanted as it came
+        unread = F.col("unreadable").isNotNull()
+        feed = feed.withColumn("message", F.when(unread, F.col("message")))
     return drain_batches(classify_order_stream(feed, delay), write, checkpoint, mode="append")
 
 
