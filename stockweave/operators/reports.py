@@ -16,15 +16,19 @@ from stockweave.functions.scalar import stock_status
 def executive_overview(
     orders: DataFrame, products: DataFrame, warehouses: DataFrame, customers: DataFrame
 ) -> DataFrame:
-    """Order lines with all three dimensions; lines with a null or unknown key drop."""
+    """Order lines with all three dimensions; lines with a null or unknown key drop.
+
+    The dimension with the least text is joined first and that with the most last, as each
+    join of two large sides moves what the joins before it added to the lines.
+    """
     return (
         orders.join(
-            products.select("product_id", "category", "sub_category", "product_name"), "product_id"
+            customers.select("customer_id", F.col("segment").alias("customer_segment")),
+            "customer_id",
         )
         .join(warehouses.select("warehouse_id", "warehouse_name", "region"), "warehouse_id")
         .join(
-            customers.select("customer_id", F.col("segment").alias("customer_segment")),
-            "customer_id",
+            products.select("product_id", "category", "sub_category", "product_name"), "product_id"
         )
         .select(
             "order_date",
