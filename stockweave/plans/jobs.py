@@ -228,8 +228,9 @@ def run_exports(
     scores: DataFrame,
     anomalous: DataFrame,
     out: str,
+    compression: str | None = None,
 ) -> None:
-    """The five reporting extracts as CSV."""
+    """The five reporting extracts as CSV, plain unless a `compression` is named."""
     products, warehouses = tables["dim_products"], tables["dim_warehouses"]
     extracts = {
         "executive_overview": reports.executive_overview(
@@ -243,7 +244,7 @@ def run_exports(
         "anomaly_orders": anomalous,
     }
     for name, df in extracts.items():
-        write_csv(df, f"{out}/{name}")
+        write_csv(df, f"{out}/{name}", compression)
 
 
 def publish_files(

@@ -260,8 +260,12 @@ def executive_overview(spark, sf_dir):
 
 
 def rule_scores(spark, sf_dir):
+    return scored(fx.raw_orders(spark, sf_dir))
+
+
+def scored(orders: DataFrame) -> DataFrame:
     """Score rows from a rule instead of a model: the idle share of the last year."""
-    features = segments.churn_features(fx.raw_orders(spark, sf_dir), AS_OF)
+    features = segments.churn_features(orders, AS_OF)
     idle = F.least(F.col("recency_days").cast("double") / 365, F.lit(1.0))
     return segments.churn_score_rows(features, idle, AS_OF)
 

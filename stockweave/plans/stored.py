@@ -7,19 +7,20 @@ it would in production, and the stored table is read back.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.durable import scratch_path
+from stockweave.durable import durable, scratch_path
 from stockweave.functions.scalar import risk_segment
 from stockweave.learning import churn
 from stockweave.learning import demand as boosted
 from stockweave.operators import cleaning, demand, reports, segments
 from stockweave.plans import fixtures as fx
 from stockweave.plans import jobs
-from stockweave.plans.queries import AS_OF, FIRST, query, rule_scores
+from stockweave.plans.queries import AS_OF, FIRST, query, scored
 from stockweave.sources.sinks import (
     PublishedWarehouse,
     Warehouse,
@@ -38,14 +39,30 @@ _TABLES = {
 }
 
 
-def _raw_files(spark: SparkSession, sf_dir: str) -> str:
+_COMPRESSION = "gzip"  # of the CSV files in scratch space
+
+
+def _raw_files(
+    spark: SparkSession, sf_dir: str, tables: Mapping[str, DataFrame] | None = None
+) -> str:
     """The five tables as CSV, and the folder that holds them."""
     folder = scratch_path(spark, "raw-csv")
-    for name, table in _TABLES.items():
-        write_csv(table(spark, sf_dir), f"{folder}/{name}.csv")
+    for name, table in (tables or _tables(spark, sf_dir)).items():
+        write_csv(table, f"{folder}/{name}.csv", _COMPRESSION)
     return folder
 
 
+def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {name: table(spark, sf_dir) for name, table in _TABLES.items()}
+
+
+def _stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The five tables with the facts stored: a job that reads them several times doesn't join
+    orders and lines, or look for the pairs in stock, each time anew."""
+    tables = _tables(spark, sf_dir)
+    return tables | {n: durable(tables[n], n) for n in ("fact_orders", "fact_inventory")}
+
+
 def _warehouse(spark: SparkSession) -> Warehouse:
     return Warehouse(location=scratch_path(spark, "warehouse"))
 
@@ -112,7 +129,9 @@ def named_views(spark, sf_dir):
 @query
 def stored_model(spark, sf_dir):
     """A model scores the same after it was saved and loaded."""
-    features = segments.churn_features(fx.raw_orders(spark, sf_dir), AS_OF)
+    features = durable(
+        segments.churn_features(fx.raw_orders(spark, sf_dir), AS_OF), "stored-features"
+    )
     model = churn.churn_scores(features, AS_OF)[0]
     path = scratch_path(spark, "model")
     save_model(model, path)
@@ -198,14 +217,14 @@ def marts_customer_summary(spark, sf_dir):
 
 def _extracts(spark, sf_dir):
     """The job's extracts, from rule-based scores, last month's demand and large orders."""
-    tables = {n: t(spark, sf_dir) for n, t in _TABLES.items()}
+    tables = _stored_tables(spark, sf_dir)
     lagged = demand.add_lags(demand.demand_cells(tables["fact_orders"]), k=1)
     forecasts = demand.forecast_rows(
         lagged.filter(F.col("lag_1_qty").isNotNull()), F.col("lag_1_qty"), "previous_month"
     )
     large = tables["fact_orders"].filter(F.col("quantity") > 45)
     out = scratch_path(spark, "extracts")
-    jobs.run_exports(tables, forecasts, rule_scores(spark, sf_dir), large, out)
+    jobs.run_exports(tables, forecasts, scored(tables["fact_orders"]), large, out, _COMPRESSION)
     return tables, out
 
 
@@ -228,7 +247,7 @@ def _extract(spark: SparkSession, out: str, name: str, same: DataFrame) -> DataF
 @query
 def export_customer_analytics(spark, sf_dir):
     tables, out = _extracts(spark, sf_dir)
-    same = reports.customer_analytics(tables["dim_customers"], rule_scores(spark, sf_dir))
+    same = reports.customer_analytics(tables["dim_customers"], scored(tables["fact_orders"]))
     return _extract(spark, out, "customer_analytics", same)
 
 
@@ -275,10 +294,9 @@ def published_audit(spark, sf_dir):
 @query
 def load_churn_scores(spark, sf_dir):
     """Scores of an extract, loaded into the warehouse: rows without a score are left out."""
-    _, out = _extracts(spark, sf_dir)
+    raw, out = _extracts(spark, sf_dir)
     target = _warehouse(spark)
     extract = read_table(spark, "customer_analytics", f"{out}/customer_analytics")
-    raw = {n: t(spark, sf_dir) for n, t in _TABLES.items()}
     jobs.run_warehouse_load(raw, target, {"customer_analytics": extract}, FIRST)
     return spark.read.parquet(f"{target.location}/ml_churn_scores")
 
@@ -294,8 +312,8 @@ def load_fact_orders(spark, sf_dir):
 
 @query
 def publish_raw_orders(spark, sf_dir):
-    raw, lake = _raw_files(spark, sf_dir), scratch_path(spark, "zones")
-    _, out = _extracts(spark, sf_dir)
+    tables, out = _extracts(spark, sf_dir)
+    raw, lake = _raw_files(spark, sf_dir, tables), scratch_path(spark, "zones")
     jobs.publish_files(spark, raw, out, scratch_path(spark, "no-quarantine"), lake)
     return conform(spark.read.parquet(f"{lake}/raw/fact_orders"), "fact_orders")
 

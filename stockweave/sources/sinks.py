@@ -18,8 +18,12 @@ from stockweave.sources.databases import write_options
 from stockweave.sources.tables import CSV
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(**CSV).csv(path)
+def write_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
+    """A compressed file is read by one task, so it has a million rows at most."""
+    writer = df.write.mode("overwrite").options(**CSV)
+    if compression:
+        writer = writer.option("compression", compression).option("maxRecordsPerFile", 1_000_000)
+    writer.csv(path)
 
 
 def write_layer(
@@ -42,6 +46,8 @@ def write_layer(
             "rebalance", "month_key"
         )
     writer = writer_input.write.mode("overwrite").format(fmt)
+    if fmt == "parquet":
+        writer = writer.option("compression", "zstd")
     if fmt == "csv":
         writer = writer.options(**CSV)
     if month_of:
