@@ -12,6 +12,7 @@ from stockweave.functions.scalar import stock_status, transfer_priority
 from stockweave.operators.ranking import head_of_groups
 
 _AMOUNT = "decimal(28,2)"
+ROWS_PER_TASK = 1 << 19  # of the tasks that group all rows by warehouse
 
 
 def _unpriced() -> Column:
@@ -44,6 +45,16 @@ def transfer_sides(inventory: DataFrame) -> DataFrame:
     )
 
 
+def _spread(sides: DataFrame) -> DataFrame:
+    """`sides` dealt by product and warehouse to tasks of ROWS_PER_TASK rows on average.
+
+    Adaptive execution would merge them into as few tasks as there are cores, and what these
+    group and sort in memory would grow with the table.
+    """
+    tasks = max(1, -(-sides.count() // ROWS_PER_TASK))
+    return sides.repartition(tasks, "product_id", "warehouse_id")
+
+
 def _best_transfer(sides: DataFrame) -> DataFrame:
     """Largest transferable quantity of every product that has a transfer at all.
 
@@ -208,10 +219,10 @@ def _tied(classed: DataFrame, limit: int) -> DataFrame:
 
 def _best_transfers(sides: DataFrame, costs: DataFrame, limit: int) -> DataFrame:
     """The `limit` best transfers of products whose cost is not negative, and a few others."""
-    leaders = _leaders(_best_transfer(sides), costs, limit)
+    leaders = _leaders(_best_transfer(_spread(sides)), costs, limit)
     # what the leaders select is small as a rule and is read several times
     pool = durable(
-        sides.join(leaders, "product_id").withColumn("worth", _worth(F.col("units"))), "transfers"
+        sides.join(F.broadcast(leaders), "product_id").withColumn("worth", _worth(F.col("units"))), "transfers"
     )
     by_size = [F.desc("units"), F.col("warehouse_id")]
     richest = _head_by_warehouse(pool, ["product_id", "side"], by_size, limit)
@@ -248,7 +259,7 @@ def _worst_transfers(sides: DataFrame, costs: DataFrame, limit: int) -> DataFram
     """
     smallest = [F.col("units"), F.col("warehouse_id")]
     by_id = [F.col("warehouse_id"), F.desc("units")]
-    per_warehouse = sides.groupBy("product_id", "side", "warehouse_id").agg(
+    per_warehouse = _spread(sides).groupBy("product_id", "side", "warehouse_id").agg(
         F.min("units").alias("units")
     )
     ends = head_of_groups(per_warehouse, ["product_id", "side"], smallest, 2)
@@ -265,7 +276,7 @@ def _worst_transfers(sides: DataFrame, costs: DataFrame, limit: int) -> DataFram
         .agg(F.min(F.least("over", "under")).alias("units"))
     )
     pool = durable(
-        sides.join(_leaders(least, costs, limit), "product_id").withColumn(
+        sides.join(F.broadcast(_leaders(least, costs, limit)), "product_id").withColumn(
             "row", F.monotonically_increasing_id()
         ),
         "costly-transfers",
@@ -306,7 +317,7 @@ def inventory_rebalancing(
     """
     if limit < 1:
         raise ValueError("limit must be at least 1")
-    sides = transfer_sides(inventory)
+    sides = durable(transfer_sides(inventory), "transfer-sides")  # read four times
     costs = products.select("product_id", "cost_price")
     negative = F.coalesce(F.col("cost_price") < 0, F.lit(False))
     found = _best_transfers(sides, costs.filter(~negative), limit).unionByName(

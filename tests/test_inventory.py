@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from helpers import inventory, products
+from stockweave.operators import inventory as stock_transfers
 from stockweave.operators.inventory import inventory_rebalancing, leading_pairs, transfer_sides
 
 
@@ -66,6 +67,22 @@ def test_priority(spark, needed, priority):
     ]
 
 
+def test_tasks_that_group_all_rows_stay_small(spark, monkeypatch):
+    """More rows make more tasks, not larger ones."""
+    monkeypatch.setattr(stock_transfers, "ROWS_PER_TASK", 50, raising=False)
+    held, best = [], stock_transfers._best_transfer
+
+    def counting(sides):
+        by_task = sides.groupBy(F.spark_partition_id()).count().collect()
+        held.extend(r["count"] for r in by_task)
+        return best(sides)
+
+    monkeypatch.setattr(stock_transfers, "_best_transfer", counting)
+    stock = [(p, w, 500 if w % 2 else 3, 20 + w % 7) for p in range(40) for w in range(20)]
+    check(spark, stock, {p: Decimal(p + 1) for p in range(40)}, 30)
+    assert sum(held) == 800 and max(held) <= 200
+
+
 def test_hot_product_with_ties(spark):
     stock = [(1, w, 500, 20) for w in range(60)] + [(1, 100 + w, 0, 40) for w in range(60)]
     stock += [(2, 1, 90, 10), (2, 2, 0, 70)]
