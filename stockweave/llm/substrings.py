@@ -210,11 +210,31 @@ def _flat(table: pa.Table, name: str, kind: pa.DataType) -> pa.Array:
     return pa.concat_arrays(chunks) if chunks else pa.array([], kind)
 
 
+def _sharing(contents: pa.Table, length: int) -> np.ndarray:
+    """Whether a content may have a window that comes again, in it or in another content.
+
+    Equal windows have equal smallest hashes among their strings of three fifths of `length`;
+    most contents that share a short phrase share none of these.
+    """
+    gram = max(8, 3 * length // 5)
+    keys, owners, inners, done = [], [], [], 0
+    for part in slices(iter(contents.to_batches()), "bytes"):
+        key, _, _, of, inner = segments(*utf8(part.column("bytes")), length, gram)
+        keys.append(key)
+        owners.append(of + done)
+        inners.append(inner)
+        done += part.num_rows
+    _, at, times = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+    found = np.zeros(contents.num_rows, dtype=bool)
+    found[np.concatenate(owners)[(times[at] > 1) | np.concatenate(inners)]] = True
+    return found
+
+
 def _sorted_shard(length: int):
     """First places of the windows of a shard's contents, as runs of neighbouring windows.
 
     A shard holds all contents of its keys. A key's only content has nothing to be compared
-    with, unless its own windows may be equal.
+    with, unless its own windows may be equal. Nor has one that shares no longer string.
     """
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,6 +249,11 @@ def _sorted_shard(length: int):
         alone = (times[at] == 1) & ~inner
         yield _own_runs(whole.filter(pa.array(alone)))
         whole = whole.filter(pa.array(~alone)).combine_chunks()
+        if not whole.num_rows:
+            return
+        some = _sharing(whole, length)
+        yield _own_runs(whole.filter(pa.array(~some)))
+        whole = whole.filter(pa.array(some)).combine_chunks()
         if not whole.num_rows:
             return
         raw, borders = utf8(whole.column("bytes").chunk(0))

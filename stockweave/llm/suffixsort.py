@@ -19,7 +19,7 @@ import tempfile
 import numpy as np
 
 QUEUE_BYTES = 64 << 20  # of tuples in memory
-RANGES = 128
+RANGES = 16
 
 
 class Queues:
@@ -134,6 +134,45 @@ def _members(position, known, extra, extra_rank, text, wanted, low, high):
     return np.concatenate(positions), np.concatenate(ranks), np.concatenate(parents)
 
 
+def _by_substrings(
+    symbol: np.ndarray, starts: np.ndarray, ends: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """(order, group heads) of LMS substrings; equal ones form a group.
+
+    Symbols tell rising from falling, so substrings that are equal so far end at the same place:
+    a group goes on, several symbols at a time, only until its members differ or end.
+    """
+    bits = int(symbol.max()).bit_length()
+
+    def ahead(some: np.ndarray, done: int, take: int) -> np.ndarray:
+        key = np.zeros(len(some), dtype=np.int64)
+        first, last = starts[some] + done, ends[some]
+        for k in range(take):
+            at = first + k
+            key = (key << bits) | np.where(at <= last, symbol[np.minimum(at, last)], 0)
+        return key
+
+    done = max(1, 62 // bits)
+    order, head, rank = _grouped(ahead(np.arange(len(starts)), 0, done))
+    take = max(1, (62 - len(starts).bit_length()) // bits)
+    slots = np.arange(len(starts))
+    while True:
+        tied = ~(head[slots] & np.append(head, True)[slots + 1])
+        some = order[slots]
+        going = tied & (starts[some] + done <= ends[some])
+        slots, some = slots[going], some[going]
+        if not len(slots):
+            return order, head
+        keys = (rank[some] << (take * bits)) | ahead(some, done, take)
+        by_key = np.argsort(keys)
+        keys, some = keys[by_key], some[by_key]
+        new = np.ones(len(slots), dtype=bool)
+        new[1:] = keys[1:] != keys[:-1]
+        order[slots], head[slots] = some, new
+        rank[some] = np.maximum.accumulate(np.where(new, slots, 0))
+        done += take
+
+
 def suffix_ranks(text: np.ndarray, queue_bytes: int = QUEUE_BYTES) -> np.ndarray:
     """The place of every suffix among all, for numbers from 0 whose last one is unique."""
     text = text.astype(np.int64)
@@ -152,19 +191,7 @@ def suffix_ranks(text: np.ndarray, queue_bytes: int = QUEUE_BYTES) -> np.ndarray
 
     # name the LMS substrings, each up to and including the next LMS position
     symbol = 2 * text + rises + 1
-    ends = np.append(starts[1:], n - 1)
-    order, head, rank = _grouped(symbol[starts])
-    k = 1
-    while _regroup(
-        order,
-        head,
-        rank,
-        lambda x: np.where(starts[x] + k <= ends[x], symbol[np.minimum(starts[x] + k, n - 1)], 0),
-    ):
-        k += 1
-        tied = ~(head & np.append(head[1:], True))
-        if not (starts[order[tied]] + k <= ends[order[tied]]).any():
-            break
+    order, head = _by_substrings(symbol, starts, np.append(starts[1:], n - 1))
     names = np.cumsum(head) - 1
     if names[-1] + 1 < len(starts):
         named = np.empty(len(starts), dtype=np.int64)

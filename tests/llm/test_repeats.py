@@ -26,6 +26,56 @@ def test_suffix_ranks_match_sorting():
         assert (suffix_ranks(text, queue_bytes=64 if trial % 2 else 1 << 20) == want).all()
 
 
+def test_naming_ends_with_each_substring(monkeypatch):
+    """One long pair of equal substrings must not have all short ones compared again."""
+    once = np.concatenate([np.tile([1, 2], 5000), np.arange(1, 1500)])
+    text = np.concatenate([once, once, [0]])
+    sorted_, argsort = [], np.argsort
+
+    def counting(a, *args, **more):
+        sorted_.append(len(a))
+        return argsort(a, *args, **more)
+
+    monkeypatch.setattr(np, "argsort", counting)
+    ranks = suffix_ranks(text)
+    assert sum(sorted_) < 40 * len(text)
+    monkeypatch.undo()
+    order = np.argsort(ranks)
+    follows = np.append(ranks, -1)[order + 1]
+    a, b = text[order[:-1]], text[order[1:]]
+    assert ((a < b) | ((a == b) & (follows[:-1] < follows[1:]))).all()
+
+
+def test_only_contents_that_may_share_a_window_are_sorted(docs_of, monkeypatch):
+    rnd = random.Random(5)
+    phrase = "".join(rnd.choices("abcdefgh ", k=45))  # shared, but shorter than a window
+    passage = "".join(rnd.choices("abcdefgh ", k=150))
+
+    def other():
+        return "".join(rnd.choices("abcdefgh ", k=130))
+
+    rows = [(k, other() + phrase + other()) for k in range(60)]
+    rows += [(100 + k, other() + passage + other()) for k in range(2)]
+    made, sort = [], substrings.window_classes
+
+    def counting(raw, borders, length):
+        made.append(bytes(raw))
+        return sort(raw, borders, length)
+
+    monkeypatch.setattr(substrings, "window_classes", counting)
+    seen = substrings._sorted_shard(100)
+    text = [t.encode() for _, t in rows[:60]]
+    n = np.array([len(t) - 99 for t in text])
+    zero = np.zeros(len(text), dtype=np.int64)
+    columns = {"key": zero, "a": n, "b": n, "doc": zero, "tag": zero, "start": zero, "n": n}
+    columns |= {"inner": np.zeros(len(text), dtype=bool), "bytes": pa.array(text, pa.binary())}
+    runs = [b for b in seen(iter([pa.RecordBatch.from_pydict(columns)])) if b.num_rows]
+    assert sum(b.num_rows for b in runs) == 60 and not made
+    monkeypatch.undo()
+    got = substrings.remove_repeats(docs_of(rows)).collect()
+    assert {r["doc_id"]: tuple(r)[1:] for r in got} == plain_removal(rows, 100)
+
+
 def test_window_classes_match_brute_force():
     rng = np.random.default_rng(2)
     for _ in range(60):
