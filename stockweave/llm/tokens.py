@@ -14,10 +14,11 @@ import json
 import os
 import re
 from array import array
+from itertools import islice
 
 import numpy as np
 
-KEPT_WORDS = 800_000  # a worker forgets its words when it has so many
+KEPT_WORDS = 700_000  # a worker forgets the later half of its words when it has so many
 _JOINED = 4_000  # new words encoded at once
 
 # How the two kinds of vocabularies cut, as their files state it, and the same for
@@ -58,8 +59,8 @@ class Encoder:
         odd = len(self.special) < len(names)
         before = kind.get("pre_tokenizer") or {}
         plain = kind.get("normalizer") is None and not odd
+        # ids of words, and of pieces, which have the same ids where they are a whole word
         self.words: dict[str, bytes] = {}
-        self.known_pieces: dict[str, bytes] = {}
         self.split = self.pieces = None
         self.lower = False
         if plain and before.get("type") == "ByteLevel" and before.get("use_regex"):
@@ -91,22 +92,21 @@ class Encoder:
             name = piece.encode().decode("latin-1").translate(_BYTE_NAMES)
         return array("I", [t.id for t in self.model.tokenize(name)]).tobytes()
 
-    def _learn(self, new: list[str]) -> None:
-        if len(self.words) + len(new) > KEPT_WORDS:
-            self.words = {w: i for w, i in self.words.items() if w == "\n"}
-        if len(self.known_pieces) > KEPT_WORDS:
-            self.known_pieces = {}
+    def _learn(self, new: list[str], forget: bool = True) -> None:
+        if forget and len(self.words) + len(new) > KEPT_WORDS:
+            # frequent words are met early: the first ones stay
+            self.words = dict(islice(self.words.items(), max(1, KEPT_WORDS // 2)))
         whole, cut = [], []
         for word in new:
             if self.pieces is not None and _PRINTABLE.fullmatch(word):
                 cut.append((word, self.pieces.findall(word.lower() if self.lower else word)))
             else:
                 whole.append(word)
-        known = self.known_pieces
+        known = self.words
         fresh = list(dict.fromkeys(p for _, pieces in cut for p in pieces if p not in known))
         known.update((p, self._piece(p)) for p in fresh)
         for word, pieces in cut:
-            self.words[word] = b"".join([known[p] for p in pieces])
+            known[word] = b"".join([known[p] for p in pieces])
         self.words.update(zip(whole, self._encode_many(whole), strict=True))
 
     def _encode_many(self, new: list[str]) -> list[bytes]:
@@ -154,7 +154,7 @@ class Encoder:
             known = self.words
             self._learn([w for w in dict.fromkeys(found) if w not in known])
             if self.words is not known:  # forgotten meanwhile
-                self._learn([w for w in dict.fromkeys(found) if w not in self.words])
+                self._learn([w for w in dict.fromkeys(found) if w not in self.words], forget=False)
             return b"".join(map(self.words.__getitem__, found))
 
     def encode_batch(self, some: list[str]) -> list[bytes]:

@@ -63,6 +63,27 @@ def test_word_by_word_ids_equal_whole_text_ids(which, byte_vocabulary, word_voca
     assert again == got * 2
 
 
+@pytest.mark.parametrize("which", ["byte", "word"])
+def test_a_full_memory_keeps_the_first_words(which, byte_vocabulary, word_vocabulary, monkeypatch):
+    monkeypatch.setattr("stockweave.llm.tokens.KEPT_WORDS", 1000)
+    path = byte_vocabulary if which == "byte" else word_vocabulary
+    mine, whole = Encoder(path), Tokenizer.from_file(path)
+
+    def check(text, made):
+        assert np.frombuffer(made, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+    first = "abc dea bed"
+    mine.encode_batch([first])
+    for k in range(200):
+        text = first + " " + " ".join(f"{k}abe{j}d,x{k * j}" for j in range(40))
+        check(text, mine.encode_batch([text])[0])
+        held = [x for x in vars(mine).values() if isinstance(x, dict)]
+        assert sum(map(len, held)) < 2000  # words and pieces together
+        assert set(mine.split.findall(first)) <= set(mine.words)
+    many = f"{first} " + " ".join(f"ab{k}" for k in range(3000))  # more words than are kept
+    check(many, mine.encode(many))
+
+
 def test_sum_of_squares_follows_the_rule():
     def plain(lengths, capacity):
         gaps, where = [], []
