@@ -79,7 +79,12 @@ def test_tasks_that_group_all_rows_stay_small(spark, monkeypatch):
 
     monkeypatch.setattr(stock_transfers, "_best_transfer", counting)
     stock = [(p, w, 500 if w % 2 else 3, 20 + w % 7) for p in range(40) for w in range(20)]
-    check(spark, stock, {p: Decimal(p + 1) for p in range(40)}, 30)
+    costs = {p: Decimal(p + 1) for p in range(40)}
+    names = ("product_id", "warehouse_id", "quantity_on_hand", "reorder_point")
+    inv = inventory(spark, *[dict(zip(names, row, strict=True)) for row in stock]).coalesce(1)
+    dim = products(spark, *[dict(product_id=p, cost_price=c) for p, c in costs.items()])
+    got = [tuple(r) for r in inventory_rebalancing(inv, dim, 30).collect()]
+    assert got == brute_force(stock, costs, 30)
     assert sum(held) == 800 and max(held) <= 200
 
 
