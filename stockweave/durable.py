@@ -16,6 +16,11 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stockweave.session import usually
+
+# What a job shuffled goes when the job ends, and not when the driver happens to collect its garbage.
+RELEASE = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
 
 def scratch_dir(spark: SparkSession) -> str:
     """Shared scratch folder: `spark.checkpoint.dir`, else `_scratch` in the shared warehouse."""
@@ -57,5 +62,6 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def _stored(df: DataFrame, path: str) -> DataFrame:
-    df.write.option("compression", "zstd").parquet(path)
+    with usually(df.sparkSession, RELEASE):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -64,7 +64,7 @@ def _stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _warehouse(spark: SparkSession) -> Warehouse:
-    return Warehouse(location=scratch_path(spark, "warehouse"))
+    return Warehouse(location=scratch_path(spark, "warehouse"), options={"compression": "zstd"})
 
 
 # ---- sources and sinks

@@ -6,6 +6,9 @@ right results, it is only what a local or test run should start with.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -46,3 +49,16 @@ def get_session(app: str = "stockweave", master: str | None = None, **conf: str)
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+@contextmanager
+def usually(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Settings for what is started inside the block; those the session has of its own stay."""
+    unset = {k: v for k, v in settings.items() if spark.conf.get(k, None) is None}
+    for key, value in unset.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key in unset:
+            spark.conf.unset(key)

@@ -12,8 +12,10 @@ from pyspark.ml.util import MLWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockweave.durable import RELEASE
 from stockweave.operators.segments import churn_score_rows
 from stockweave.schemas import DIMENSIONS, FACTS, TABLES
+from stockweave.session import usually
 from stockweave.sources.databases import write_options
 from stockweave.sources.tables import CSV
 
@@ -23,7 +25,8 @@ def write_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
     writer = df.write.mode("overwrite").options(**CSV)
     if compression:
         writer = writer.option("compression", compression).option("maxRecordsPerFile", 1_000_000)
-    writer.csv(path)
+    with usually(df.sparkSession, RELEASE):
+        writer.csv(path)
 
 
 def write_layer(
@@ -75,6 +78,10 @@ class Warehouse:
     options: Mapping[str, str] = field(default_factory=dict)
 
     def replace(self, df: DataFrame, table: str) -> None:
+        with usually(df.sparkSession, RELEASE):
+            self._write(df, table)
+
+    def _write(self, df: DataFrame, table: str) -> None:
         writer = df.write.mode("overwrite")
         if self.fmt == "table":
             writer.options(**self.options).saveAsTable(table)
