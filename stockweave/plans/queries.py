@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from stockweave.durable import durable, scratch_path
+from stockweave.durable import RELEASE, durable, scratch_path
 from stockweave.functions.scalar import line_total
 from stockweave.learning import churn, isolation
 from stockweave.learning import demand as boosted
@@ -27,6 +27,7 @@ from stockweave.operators import (
 )
 from stockweave.plans import fixtures as fx
 from stockweave.schemas import ORDERS
+from stockweave.session import usually
 from stockweave.sources.feeds import read_order_stream, write_messages
 from stockweave.sources.tables import if_exists
 from stockweave.streaming import numbering
@@ -514,7 +515,10 @@ def orders_to_json(spark, sf_dir):
 
 
 # Messages repeat every name: compressed they take a fifth of the room, and half of a shuffle's.
-_FEED = {"compression": "gzip", "maxRecordsPerFile": "1000000"}  # a file is read by one task
+# A file is read by one task.
+_FEED = {
+    "compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": "1000000"
+}
 
 
 def _published(spark: SparkSession, orders: DataFrame) -> DataFrame:
@@ -549,6 +553,8 @@ def order_stream_count(spark, sf_dir):
 
 WAVES = 3
 ALL_FILES = (1 << 31) - 1
+# A task has the files of all waves open; with one at a time it would sort its messages by wave.
+_OPEN_WAVES = {"spark.sql.maxConcurrentOutputFileWriters": str(WAVES + 1)}
 
 
 def _raw_feed(spark: SparkSession, sf_dir: str) -> Iterator[DataFrame]:
@@ -578,7 +584,8 @@ def _raw_feed(spark: SparkSession, sf_dir: str) -> Iterator[DataFrame]:
         )
     )
     topic = scratch_path(spark, "feed")
-    sent.select(F.inline(messages)).write.partitionBy("wave").options(**_FEED).text(topic)
+    with usually(spark, RELEASE | _OPEN_WAVES):
+        sent.select(F.inline(messages)).write.partitionBy("wave").options(**_FEED).text(topic)
     for wave in range(1, WAVES + 1):
         folder = f"{topic}/wave={wave}"
         if if_exists(lambda folder=folder: spark.read.text(folder)) is None:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from stockweave.durable import scratch_copy
 from stockweave.operators.cleaning import (
@@ -18,11 +18,22 @@ from stockweave.operators.cleaning import (
     rejected,
 )
 from stockweave.schemas import ORDERS
+from stockweave.session import usually
 
 MALFORMED = "malformed"
 BAD_DATE = "bad_date"
 STRICT_DATES = ("order_date", "delivery_date")
 
+# State grows with the orders of a delay: it lies on disk, with bounded memory beside it. Keeping the
+# number of entries, a metric only, would look every new entry up a second time.
+_STORE = "spark.sql.streaming.stateStore"
+STATE = {
+    f"{_STORE}.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STORE}.rocksdb.trackTotalNumberOfRows": "false",
+    f"{_STORE}.rocksdb.boundedMemoryUsage": "true",
+}
+
 
 def _is_date(field) -> bool:
     return field.dataType.typeName() == "date"
@@ -157,21 +168,26 @@ def running_count(orders: DataFrame) -> DataFrame:
     return orders.groupBy().agg(F.count("*").alias("messages"))
 
 
+def _finished(stream: DataFrame, writer: DataStreamWriter) -> StreamingQuery:
+    """Process everything the source holds now, and stop. A query keeps the settings it starts with."""
+    with usually(stream.sparkSession, STATE):
+        query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
 def drain(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
     """Process everything the source holds now, append it to `path`, and stop.
 
     Offsets and output are committed per batch, so a restart adds nothing twice.
     """
-    query = (
+    return _finished(
+        stream,
         stream.writeStream.format(fmt)
         .outputMode("append")
         .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+        .option("checkpointLocation", checkpoint),
     )
-    query.awaitTermination()
-    return query
 
 
 def drain_batches(
@@ -181,12 +197,9 @@ def drain_batches(
     mode: str = "complete",
 ) -> StreamingQuery:
     """Like `drain` for results that change: `write` replaces the result after each batch."""
-    query = (
+    return _finished(
+        stream,
         stream.writeStream.outputMode(mode)
         .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+        .option("checkpointLocation", checkpoint),
     )
-    query.awaitTermination()
-    return query
